@@ -3,10 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pagelathe.llm.quantiles import merge_sketches, metric_values, read_quantiles, sketch_groups
 from pagelathe.llm.topn import top_n
 from pagelathe.session import table
 
+_METRIC = ["run_day", "metric_field", "metric_name"]
+_PERCENTILES = [0.5, 0.9, 0.95, 0.99]
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups whose 95th percentile is at least 3 times their median."""
+    sketches = sketch_groups(metric_values(table(spark, sf_dir, "page_metrics")), _METRIC, "value")
+    q = read_quantiles(sketches, [0.5, 0.95])
+    return q.where(F.col("quantiles")[1] >= 3 * F.col("quantiles")[0]).select(*_METRIC)
+
+
+def p2_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of each metric over all days, from the days' sketches."""
+    days = sketch_groups(metric_values(table(spark, sf_dir, "page_metrics")), _METRIC, "value")
+    q = read_quantiles(merge_sketches(days, _METRIC[1:]), _PERCENTILES)
+    return q.select("metric_field", "metric_name", "n", *[F.col("quantiles")[i].alias(f"p{round(100 * p)}") for i, p in enumerate(_PERCENTILES)])
+
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten nearest chunks of each query."""
@@ -18,8 +37,17 @@ def p5_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_n(table(spark, sf_dir, "query_hits"), "query_id", "chunk_id", "_distance", 10)
 
 
-QUERIES = {"p5_found": p5_found, "p5_ranked": p5_ranked}
+QUERIES = {"p2_found": p2_found, "p2_overall": p2_overall, "p5_found": p5_found, "p5_ranked": p5_ranked}
 
+_P2 = """
+WITH once AS (
+  SELECT DISTINCT ON (pdf_path, page_index, run_at) strftime(run_at, '%Y-%m-%d') AS run_day, timing_s, models FROM page_metrics),
+each AS (
+  SELECT run_day, 'timing_s' AS metric_field, unnest(map_keys(timing_s)) AS metric_name, unnest(map_values(timing_s)) AS v FROM once
+  UNION ALL
+  SELECT run_day, 'seconds', unnest(map_keys(models)), unnest(list_transform(map_values(models), lambda m: m.seconds)) FROM once),
+valid AS (SELECT * FROM each WHERE v IS NOT NULL AND NOT isnan(v) AND v >= 0)
+"""
 _P5 = """
 WITH best AS (
   SELECT query_id, chunk_id, min(_distance) AS _distance FROM query_hits
@@ -27,7 +55,9 @@ WITH best AS (
   GROUP BY 1, 2),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY _distance, chunk_id) AS r FROM best)
 """
+#: p2_overall has none: its percentiles are within a bound, not equal (see tests).
 SQL = {
+    "p2_found": _P2 + "SELECT run_day, metric_field, metric_name FROM valid GROUP BY ALL HAVING quantile_cont(v, 0.95) >= 3 * quantile_cont(v, 0.5)",
     "p5_found": _P5 + "SELECT query_id, chunk_id FROM ranked WHERE r <= 10",
     "p5_ranked": _P5 + "SELECT query_id, chunk_id, _distance, CAST(r AS INTEGER) AS rank FROM ranked WHERE r <= 10",
 }

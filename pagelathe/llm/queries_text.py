@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pagelathe.llm.packing import pack_items, with_token_counts
 from pagelathe.llm.splitting import split_texts
-from pagelathe.session import table
+from pagelathe.session import cut, table
 
 
 def p7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +20,18 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.where("piece_no = 0").select("rec_id", "text_no", "forced").distinct()
 
 
-QUERIES = {"p7_found": p7_found, "p7_pieces": p7_pieces}
+def p8_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers of 1,024 tokens for all documents."""
+    sized = cut(with_token_counts(table(spark, sf_dir, "documents"), "doc_id", "text"), "tokens")
+    return pack_items(sized, 1024).withColumnRenamed("item", "doc_id")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that the packing had to split."""
+    return p8_bins(spark, sf_dir).where("pieces > 1 AND piece_no = 0").select("doc_id")
+
+
+QUERIES = {"p7_found": p7_found, "p7_pieces": p7_pieces, "p8_found": p8_found, "p8_bins": p8_bins}
 
 SQL = {
     "p7_found": r"""
@@ -27,4 +39,7 @@ WITH t AS (SELECT rec_id, unnest(texts) AS text, generate_subscripts(texts, 1) -
 SELECT DISTINCT rec_id, CAST(text_no AS INTEGER) AS text_no,
        CAST(list_max(list_transform(regexp_split_to_array(text, '[\s.!?。]'), lambda x: length(x))) > 2000 AS INTEGER) AS forced
 FROM t WHERE length(text) > 2000""",
+    "p8_found": r"""
+SELECT doc_id FROM documents
+WHERE len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+')) > 1024""",
 }
