@@ -12,6 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Code points handled at once. A single longer text still goes through whole.
 SLICE_CODE_POINTS = 400_000
@@ -93,7 +94,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_CODE_POINTS) ->
     """The batch in runs of rows whose texts together take about ``most`` bytes, at least one row each."""
     if not batch.num_rows:
         return
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(batch.schema.get_field_index(column))), 0)
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0)
     total = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < batch.num_rows:

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pagelathe.llm.leakage import find_leaks
 from pagelathe.llm.packing import pack_items, with_token_counts
+from pagelathe.llm.repetition import repetition
 from pagelathe.llm.splitting import split_texts
 from pagelathe.session import cut, table
 
@@ -31,9 +34,48 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_bins(spark, sf_dir).where("pieces > 1 AND piece_no = 0").select("doc_id")
 
 
-QUERIES = {"p7_found": p7_found, "p7_pieces": p7_pieces, "p8_found": p8_found, "p8_bins": p8_bins}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain an evaluation item, with the items."""
+    return find_leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"))
 
+
+def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents each leaked item stands in."""
+    return p9_found(spark, sf_dir).groupBy("item_id").agg(F.count("*").alias("documents"))
+
+
+def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repetition of every document."""
+    return repetition(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents the line field does not retain, confirmed by the exact share of repeated words."""
+    return p10_shares(spark, sf_dir).where("NOT retained AND repeated_share >= 0.3").select("doc_id").distinct()
+
+
+QUERIES = {"p7_found": p7_found, "p7_pieces": p7_pieces, "p8_found": p8_found, "p8_bins": p8_bins, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_shares": p10_shares}
+
+_WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')"
+_P9 = rf"""
+WITH iw AS (SELECT item_id, {_WORDS} AS w FROM eval_items WHERE text IS NOT NULL),
+pat AS (SELECT item_id, least(12, len(w)) AS k, array_to_string(w[i : i + least(12, len(w)) - 1], ' ') AS p
+  FROM iw, unnest(generate_series(1, len(w) - least(12, len(w)) + 1)) AS u(i) WHERE len(w) > 0),
+dw AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
+found AS (SELECT DISTINCT doc_id, item_id FROM (
+  SELECT doc_id, k, array_to_string(w[i : i + k - 1], ' ') AS p
+  FROM dw, (SELECT DISTINCT k FROM pat) ks, unnest(generate_series(1, len(w) - k + 1)) AS u(i) WHERE len(w) >= k) d JOIN pat USING (k, p))
+"""
+_P10 = rf"""
+WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
+g AS (SELECT doc_id, len(w) AS n, i, array_to_string(w[i : i + 7], ' ') AS p FROM dw, unnest(generate_series(1, len(w) - 7)) AS u(i) WHERE len(w) >= 8),
+again AS (SELECT doc_id, n, i FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS r FROM g) WHERE r > 1),
+share AS (SELECT doc_id, count(DISTINCT i + k) / any_value(n) AS s FROM again, unnest(generate_series(0, 7)) AS u(k) GROUP BY doc_id)
+"""
 SQL = {
+    "p9_found": _P9 + "SELECT doc_id, item_id FROM found",
+    "p9_items": _P9 + "SELECT item_id, count(*) AS documents FROM found GROUP BY 1",
+    "p10_found": _P10 + "SELECT doc_id FROM share WHERE s >= 0.3",
     "p7_found": r"""
 WITH t AS (SELECT rec_id, unnest(texts) AS text, generate_subscripts(texts, 1) - 1 AS text_no FROM page_texts)
 SELECT DISTINCT rec_id, CAST(text_no AS INTEGER) AS text_no,
