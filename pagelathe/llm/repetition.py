@@ -1,6 +1,6 @@
 """Repetition inside a document, by labelling its lines with a linear-chain conditional random field.
 
-A document is cut into units (lines, sentences within lines, and runs of 16 words within long sentences). Each unit has a few features that say how
+A document is cut into units: lines, and runs of 16 words within long lines. Each unit has a few features that say how
 much of it stood earlier in the same document; a two-state chain (content, repeated) is decoded by Viterbi, so
 an isolated echo inside content stays content and a short new line inside a repeated block stays
 repeated. The share of words outside repeated units is the document's content share, which decides
@@ -29,7 +29,6 @@ RUN, FEATURE_RUN = 8, 4
 UNIT_WORDS = 16
 #: Labelled documents the field is fitted on, at most.
 SAMPLE_DOCUMENTS = 600
-_ENDS = np.array([ord(c) for c in ".!?。"], np.uint32)
 
 
 def repeated_words(hashes: np.ndarray, owner: np.ndarray, run: int) -> np.ndarray:
@@ -65,7 +64,7 @@ class Units:
 def units_of(codes: np.ndarray, starts: np.ndarray) -> Units:
     begin, end, hashes, owner = words(codes, starts)
     exact, near = repeated_words(hashes, owner, RUN), repeated_words(hashes, owner, FEATURE_RUN)
-    stop = (codes == 10) | np.isin(codes, _ENDS)
+    stop = codes == 10
     stops_before = np.zeros(len(codes) + 1, np.int64)
     np.cumsum(stop, out=stops_before[1:])
     # A unit's words share their text and the number of unit ends before them.
@@ -134,7 +133,7 @@ class LineField:
                 state[:m] = back[at, state[:m]]
         return states
 
-    def fit(self, owner: np.ndarray, features: np.ndarray, labels: np.ndarray, rounds: int = 120, rate: float = 0.5, decay: float = 1e-3) -> LineField:
+    def fit(self, owner: np.ndarray, features: np.ndarray, labels: np.ndarray, rounds: int = 120, rate: float = 3.0, decay: float = 1e-4) -> LineField:
         """Maximum likelihood by gradient ascent; expectations come from forward and backward sums."""
         if not len(owner):
             return self
