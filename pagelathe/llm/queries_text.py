@@ -7,11 +7,27 @@ from pyspark.sql import functions as F
 
 from pagelathe.llm.leakage import find_leaks
 from pagelathe.llm.packing import pack_items, with_token_counts
+from pagelathe.llm.repeated_lines import remove_lines, repeated_lines, repeated_spans
 from pagelathe.llm.repetition import repetition
 from pagelathe.llm.splitting import split_texts
 from pagelathe.session import cut, table
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines on at least 6 pages of their PDF."""
+    return repeated_lines(table(spark, sf_dir, "page_texts"), "rec_id", "pdf_path", "page_index", "texts")
+
+
+def p3_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All page texts without those lines."""
+    return remove_lines(table(spark, sf_dir, "page_texts"), p3_found(spark, sf_dir), "rec_id", "texts")
+
+
+def p3_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages by content-defined chunks alone, wherever lines break."""
+    return repeated_spans(table(spark, sf_dir, "page_texts"), "rec_id", "pdf_path", "page_index", "texts")
+
+
 def p7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all page texts over 2,000 characters."""
     return split_texts(table(spark, sf_dir, "page_texts"), "rec_id", "texts", 2000, 200)
@@ -54,7 +70,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p10_shares(spark, sf_dir).where("NOT retained AND repeated_share >= 0.3").select("doc_id").distinct()
 
 
-QUERIES = {"p7_found": p7_found, "p7_pieces": p7_pieces, "p8_found": p8_found, "p8_bins": p8_bins, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_shares": p10_shares}
+QUERIES = {"p3_found": p3_found, "p3_cleaned": p3_cleaned, "p3_spans": p3_spans, "p7_found": p7_found, "p7_pieces": p7_pieces, "p8_found": p8_found, "p8_bins": p8_bins, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_shares": p10_shares}
 
 _WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')"
 _P9 = rf"""
@@ -72,7 +88,15 @@ g AS (SELECT doc_id, len(w) AS n, i, array_to_string(w[i : i + 7], ' ') AS p FRO
 again AS (SELECT doc_id, n, i FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS r FROM g) WHERE r > 1),
 share AS (SELECT doc_id, count(DISTINCT i + k) / any_value(n) AS s FROM again, unnest(generate_series(0, 7)) AS u(k) GROUP BY doc_id)
 """
+_P3 = r"""
+WITH t AS (SELECT rec_id, pdf_path, page_index, unnest(texts) AS text, generate_subscripts(texts, 1) - 1 AS text_no FROM page_texts),
+l AS (SELECT rec_id, pdf_path, page_index, text_no, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM t),
+n AS (SELECT *, lower(regexp_replace(CASE WHEN line_no = 0 AND starts_with(line, 'passage: ') THEN line[10:] ELSE line END, '[^\p{L}]+', '', 'g')) AS s FROM l),
+r AS (SELECT pdf_path, s FROM n WHERE length(s) >= 20 GROUP BY 1, 2 HAVING count(DISTINCT page_index) >= 6),
+found AS (SELECT rec_id, CAST(text_no AS INTEGER) AS text_no, CAST(line_no AS INTEGER) AS line_no FROM n JOIN r USING (pdf_path, s))
+"""
 SQL = {
+    "p3_found": _P3 + "SELECT DISTINCT rec_id, text_no, line_no FROM found",
     "p9_found": _P9 + "SELECT doc_id, item_id FROM found",
     "p9_items": _P9 + "SELECT item_id, count(*) AS documents FROM found GROUP BY 1",
     "p10_found": _P10 + "SELECT doc_id FROM share WHERE s >= 0.3",
