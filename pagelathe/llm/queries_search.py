@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagelathe.llm.neighbours import similar_pairs
 from pagelathe.llm.quantiles import merge_sketches, metric_values, read_quantiles, sketch_groups
 from pagelathe.llm.topn import top_n
 from pagelathe.session import table
@@ -13,6 +14,12 @@ _METRIC = ["run_day", "metric_field", "metric_name"]
 _PERCENTILES = [0.5, 0.9, 0.95, 0.99]
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similar pairs among all usable vectors."""
+    pairs = similar_pairs(table(spark, sf_dir, "chunk_vectors"), "vec_id", "vector")
+    return pairs.withColumnsRenamed({"id_a": "vec_id_a", "id_b": "vec_id_b"})
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups whose 95th percentile is at least 3 times their median."""
     sketches = sketch_groups(metric_values(table(spark, sf_dir, "page_metrics")), _METRIC, "value")
@@ -37,8 +44,16 @@ def p5_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_n(table(spark, sf_dir, "query_hits"), "query_id", "chunk_id", "_distance", 10)
 
 
-QUERIES = {"p2_found": p2_found, "p2_overall": p2_overall, "p5_found": p5_found, "p5_ranked": p5_ranked}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_overall": p2_overall, "p5_found": p5_found, "p5_ranked": p5_ranked}
 
+_P1 = """
+WITH u AS (SELECT vec_id AS id, list_transform(vector, lambda x: CAST(x AS DOUBLE)) AS v FROM chunk_vectors
+  WHERE vector IS NOT NULL AND len(vector) = 96 AND len(list_filter(vector, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(vector, lambda x: x <> 0)) > 0),
+n AS (SELECT id, list_transform(v, lambda x: x / m) AS v FROM (SELECT *, sqrt(list_inner_product(v, v)) AS m FROM u)),
+s AS (SELECT a.id AS a, b.id AS b, list_inner_product(a.v, b.v) AS sim FROM n a JOIN n b ON a.id <> b.id),
+r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(sim, 7) DESC, b) AS k FROM s WHERE sim >= 0.85)
+SELECT DISTINCT least(a, b) AS vec_id_a, greatest(a, b) AS vec_id_b FROM r WHERE k <= 5"""
 _P2 = """
 WITH once AS (
   SELECT DISTINCT ON (pdf_path, page_index, run_at) strftime(run_at, '%Y-%m-%d') AS run_day, timing_s, models FROM page_metrics),
@@ -57,6 +72,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY _distance
 """
 #: p2_overall has none: its percentiles are within a bound, not equal (see tests).
 SQL = {
+    "p1_found": _P1,
     "p2_found": _P2 + "SELECT run_day, metric_field, metric_name FROM valid GROUP BY ALL HAVING quantile_cont(v, 0.95) >= 3 * quantile_cont(v, 0.5)",
     "p5_found": _P5 + "SELECT query_id, chunk_id FROM ranked WHERE r <= 10",
     "p5_ranked": _P5 + "SELECT query_id, chunk_id, _distance, CAST(r AS INTEGER) AS rank FROM ranked WHERE r <= 10",

@@ -167,9 +167,14 @@ class LineField:
 
 
 def train_field(df: DataFrame, key: str, text: str, sample: int = SAMPLE_DOCUMENTS) -> LineField:
-    """Fit the field on the ``sample`` documents of smallest hash; their units are labelled by the exact definition."""
-    ranked = df.where(F.col(text).isNotNull()).select(F.xxhash64(F.col(key), F.length(text)).alias("h"), F.col(text).alias("text")).orderBy("h").limit(sample)
-    texts = pa.array([r.text for r in ranked.collect()], pa.string())
+    """Fit the field on about ``sample`` documents drawn by hash; their units are labelled by the exact definition.
+
+    The draw is a range of hashes, so no task sends more rows than belong to the sample.
+    """
+    count = df.count()
+    upto = int(-(1 << 63) + min(1.0, sample / max(1, count)) * ((1 << 64) - 1))
+    drawn = df.where(F.col(key).isNotNull() & (F.xxhash64(key) <= F.lit(upto)) & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("text"))
+    texts = pa.array([r.text for r in sorted(drawn.limit(2 * sample).collect(), key=lambda r: (str(r.k), r.text))], pa.string())
     u = units_of(*decode(texts))
     return LineField().fit(u.owner, u.features, (2 * u.repeated >= u.words).astype(np.int64))
 
