@@ -9,6 +9,7 @@ from pagelathe.llm.leakage import find_leaks
 from pagelathe.llm.packing import pack_items, with_token_counts
 from pagelathe.llm.repeated_lines import remove_lines, repeated_lines, repeated_spans
 from pagelathe.llm.repetition import repetition
+from pagelathe.llm.scan_noise import repair_pages, scan_defects
 from pagelathe.llm.splitting import split_texts
 from pagelathe.session import cut, table
 
@@ -28,6 +29,16 @@ def p3_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans(table(spark, sf_dir, "page_texts"), "rec_id", "pdf_path", "page_index", "texts")
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with noise of scanning."""
+    return scan_defects(table(spark, sf_dir, "page_scans"), table(spark, sf_dir, "lexicon"))
+
+
+def p6_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All scanned pages as repaired paragraphs."""
+    return repair_pages(table(spark, sf_dir, "page_scans"), table(spark, sf_dir, "lexicon"))
+
+
 def p7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all page texts over 2,000 characters."""
     return split_texts(table(spark, sf_dir, "page_texts"), "rec_id", "texts", 2000, 200)
@@ -70,7 +81,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p10_shares(spark, sf_dir).where("NOT retained AND repeated_share >= 0.3").select("doc_id").distinct()
 
 
-QUERIES = {"p3_found": p3_found, "p3_cleaned": p3_cleaned, "p3_spans": p3_spans, "p7_found": p7_found, "p7_pieces": p7_pieces, "p8_found": p8_found, "p8_bins": p8_bins, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_shares": p10_shares}
+QUERIES = {"p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p3_found": p3_found, "p3_cleaned": p3_cleaned, "p3_spans": p3_spans, "p7_found": p7_found, "p7_pieces": p7_pieces, "p8_found": p8_found, "p8_bins": p8_bins, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_shares": p10_shares}
 
 _WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')"
 _P9 = rf"""
