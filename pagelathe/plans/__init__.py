@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ["nested"]
+_MODULES = ["nested", "scalars"]
 
 
 def _merged(attribute: str) -> dict:
