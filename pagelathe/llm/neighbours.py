@@ -183,7 +183,7 @@ def nearest(usable: DataFrame, dimensions: int, k: int, floor: float, rows: int,
     if lists > 1:
         take = min(MOST_SAMPLE, SAMPLE_PER_LIST * lists)
         # A range of hashes that holds about this many rows; no more leave a task than belong to the sample.
-        upto = int(-(1 << 63) + min(1.0, take / rows) * ((1 << 64) - 1))
+        upto = min((1 << 63) - 1, -(1 << 63) + int(min(1.0, take / rows) * (1 << 64)))
         drawn = usable.where(F.xxhash64("id") <= F.lit(upto)).select("vector").limit(2 * take).toArrow()
         x = _unit(drawn.column("vector").combine_chunks().flatten().to_numpy().reshape(-1, dimensions)) @ turn
         centroids = fit_lists(x, lists)

@@ -172,7 +172,7 @@ def train_field(df: DataFrame, key: str, text: str, sample: int = SAMPLE_DOCUMEN
     The draw is a range of hashes, so no task sends more rows than belong to the sample.
     """
     count = df.count()
-    upto = int(-(1 << 63) + min(1.0, sample / max(1, count)) * ((1 << 64) - 1))
+    upto = min((1 << 63) - 1, -(1 << 63) + int(min(1.0, sample / max(1, count)) * (1 << 64)))
     drawn = df.where(F.col(key).isNotNull() & (F.xxhash64(key) <= F.lit(upto)) & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("text"))
     texts = pa.array([r.text for r in sorted(drawn.limit(2 * sample).collect(), key=lambda r: (str(r.k), r.text))], pa.string())
     u = units_of(*decode(texts))
