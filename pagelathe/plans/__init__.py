@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ["nested", "scalars"]
+_MODULES = ["nested", "scalars", "retrieval"]
 
 
 def _merged(attribute: str) -> dict:
