@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ["nested", "scalars", "retrieval"]
+_MODULES = ["nested", "scalars", "retrieval", "pipeline"]
 
 
 def _merged(attribute: str) -> dict:
