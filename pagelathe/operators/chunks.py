@@ -61,7 +61,7 @@ def flatten_records(nested: DataFrame, column: str) -> DataFrame:
 
 
 def zip_shortest(arrays: dict[str, Column | str]) -> Column:
-    """Arrays zipped to the length of the shortest, where Spark pads to the longest."""
+    """Arrays zipped to the length of the shortest, where Spark pads to the longest; null if one is null."""
     cols = {n: F.col(c) if isinstance(c, str) else c for n, c in arrays.items()}
     least = F.array_min(F.array(*[F.size(c) for c in cols.values()]))
     return F.slice(F.arrays_zip(*[c.alias(n) for n, c in cols.items()]), 1, F.greatest(least, F.lit(0)))
