@@ -106,7 +106,7 @@ def latency(df: DataFrame, by: Sequence[str], value: Column | str) -> DataFrame:
     """
     c = F.col(value) if isinstance(value, str) else value
     p = [F.round(F.percentile(c, q), 6).alias(f"p{round(100 * q)}") for q in (0.5, 0.9, 0.99)]
-    return df.where(c.isNotNull() & ~F.isnan(c)).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *p, F.round(F.avg(c), 6).alias("mean"), F.round(F.coalesce(F.stddev_samp(c), F.lit(0.0)), 6).alias("deviation"))
+    return df.where(c.isNotNull() & ~F.isnan(c)).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *p, F.round(F.avg(c), 9).alias("mean"), F.round(F.coalesce(F.stddev_samp(c), F.lit(0.0)), 6).alias("deviation"))
 
 
 def throughput(count: Column, seconds: Column) -> Column:
@@ -136,4 +136,4 @@ def sizes_by_kind(files: DataFrame, kind: Column) -> DataFrame:
 
 def run_summary(runs: DataFrame, by: Sequence[str], ok: Column, seconds: Column) -> DataFrame:
     """Runs, successes, failures, and mean seconds of the successful."""
-    return runs.groupBy(*by).agg(F.count(F.lit(1)).alias("runs"), F.count_if(ok).alias("succeeded"), F.count_if(~ok).alias("failed"), F.round(F.avg(F.when(ok, seconds)), 6).alias("mean_seconds"))
+    return runs.groupBy(*by).agg(F.count(F.lit(1)).alias("runs"), F.count_if(ok).alias("succeeded"), F.count_if(~ok).alias("failed"), F.round(F.avg(F.when(ok, seconds)), 9).alias("mean_seconds"))

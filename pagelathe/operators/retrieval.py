@@ -34,7 +34,7 @@ def _scores(queries: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
     else:
         out = np.maximum((queries**2).sum(axis=1)[:, None] + (rows**2).sum(axis=1)[None] - 2 * product, 0)
         out = np.sqrt(out) if metric == "l2" else out
-    return np.round(out, 9)
+    return np.round(out, 9) + 0.0  # no negative zero
 
 
 def _local_best(q_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, metric: str, skip_self: bool) -> pa.RecordBatch:

@@ -306,7 +306,7 @@ SELECT query_id, image_path FROM q LEFT JOIN b USING (query_id)"""
 _MT = """WITH e AS (SELECT unnest(map_entries(models)) AS m FROM page_metrics), g AS (SELECT m.key AS model, sum(CASE WHEN isnan(m.value.seconds) THEN 0 ELSE coalesce(m.value.seconds, 0) END) AS s, sum(coalesce(m.value.calls, 0)) AS calls, sum(coalesce(m.value.items, 0)) AS items FROM e GROUP BY 1)
 """
 _CT = "WITH e AS (SELECT unnest(map_entries(timing_s)) AS m FROM page_metrics), g AS (SELECT m.key AS component, round(sum(CASE WHEN isnan(m.value) THEN 0 ELSE coalesce(m.value, 0) END), 4) AS seconds FROM e GROUP BY 1) "
-_LAT = "SELECT {by}, count(*) AS n, round(quantile_cont({v}, 0.5), 6) AS p50, round(quantile_cont({v}, 0.9), 6) AS p90, round(quantile_cont({v}, 0.99), 6) AS p99, round(avg({v}), 6) AS mean, round(coalesce(stddev_samp({v}), 0), 6) AS deviation FROM {t} WHERE {v} IS NOT NULL AND NOT isnan({v}) GROUP BY 1"
+_LAT = "SELECT {by}, count(*) AS n, round(quantile_cont({v}, 0.5), 6) AS p50, round(quantile_cont({v}, 0.9), 6) AS p90, round(quantile_cont({v}, 0.99), 6) AS p99, round(avg({v}), 9) AS mean, round(coalesce(stddev_samp({v}), 0), 6) AS deviation FROM {t} WHERE {v} IS NOT NULL AND NOT isnan({v}) GROUP BY 1"
 _K = "pdf_path || '#' || page_index"
 
 SQL = {
@@ -345,7 +345,7 @@ SELECT image_path, kind, bytes IS NOT NULL AS present, CAST(bytes AS INTEGER) AS
     "a19_totals": "SELECT count(DISTINCT pdf_path) AS pdfs, count(*) AS runs, CAST(sum(cardinality(models)) AS BIGINT) AS calls FROM page_metrics",
     "a21_reasons": f"SELECT reason, count(*) AS pages FROM ({_SKIPS}) GROUP BY 1",
     "a23_sizes": "SELECT coalesce(document_type, 'none') AS kind, count(*) AS files, CAST(sum(n_chars) AS BIGINT) AS bytes FROM documents GROUP BY 1",
-    "a27_runs": "SELECT pdf_path, count(*) AS runs, count(*) FILTER (coalesce(len(errors), 0) = 0) AS succeeded, count(*) FILTER (coalesce(len(errors), 0) > 0) AS failed, round(avg(CASE WHEN coalesce(len(errors), 0) = 0 AND NOT isnan(wall_s) THEN wall_s END), 6) AS mean_seconds FROM page_metrics GROUP BY 1",
+    "a27_runs": "SELECT pdf_path, count(*) AS runs, count(*) FILTER (coalesce(len(errors), 0) = 0) AS succeeded, count(*) FILTER (coalesce(len(errors), 0) > 0) AS failed, round(avg(CASE WHEN coalesce(len(errors), 0) = 0 AND NOT isnan(wall_s) THEN wall_s END), 9) AS mean_seconds FROM page_metrics GROUP BY 1",
     "l3_hot_models": _MT + "SELECT model, round(s, 4) AS seconds FROM g ORDER BY 2 DESC, 1 LIMIT 15",
     "l3_hot_components": _CT + "SELECT * FROM g ORDER BY seconds DESC, component LIMIT 20",
     "l1_first_rows": "SELECT image_path, rec_id FROM page_texts ORDER BY image_path NULLS FIRST, rec_id LIMIT 20",
