@@ -130,7 +130,7 @@ _COS = "1 - coalesce(list_inner_product(q.v, c.v) / nullif(sqrt(list_inner_produ
 def _top_sql(distance: str, source: str = _USABLE, corpus: str = "true", skip: str = "q.vec_id <> c.vec_id") -> str:
     return f"""WITH u AS ({source}), s AS (SELECT q.vec_id AS query_id, c.vec_id AS id, round({distance}, 9) AS d FROM u q JOIN (SELECT * FROM u WHERE {corpus}) c ON {skip} WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, id) AS rank FROM s)
-SELECT query_id, id, round(d, 6) AS distance, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10"""
+SELECT query_id, id, round(d, 6) + 0.0::DOUBLE AS distance, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10"""
 
 
 _EMB = "SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v, label FROM embeddings"
