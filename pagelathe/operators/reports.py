@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelathe.functions.text import label_key, not_blank, ustrip
@@ -99,14 +99,55 @@ def batch_histogram(metrics: DataFrame, models: str = "models") -> DataFrame:
     return each.groupBy("model", F.col("batch_size").try_cast("int").alias("batch_size")).agg(F.sum("n").alias("batches"))
 
 
-def latency(df: DataFrame, by: Sequence[str], value: Column | str) -> DataFrame:
-    """N, p50, p90, p99 (interpolated at (n - 1) * p), mean and sample deviation (0 for one value), to 6 decimals.
+#: Steps that approximate percentiles are accurate to, and so half the width of the band searched exactly.
+ACCURACY = 10_000
+
 
-    Exact; for billions of values per group there are mergeable sketches.
+def exact_percentiles(df: DataFrame, by: Sequence[str], value: Column | str, at: Sequence[float]) -> DataFrame:
+    """Exact percentiles, interpolated at (n - 1) * p, of each group: the ``by`` columns, n and the array percentiles (in order of ``at``).
+
+    No task holds a group: a mergeable summary bounds where each percentile lies, values outside these bands are only counted, and the distinct values in a
+    band, a few ten-thousandths of the group, are ordered. Null and NaN values do not count; a null key is a key.
     """
     c = F.col(value) if isinstance(value, str) else value
-    p = [F.round(F.percentile(c, q), 6).alias(f"p{round(100 * q)}") for q in (0.5, 0.9, 0.99)]
-    return df.where(c.isNotNull() & ~F.isnan(c)).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *p, F.round(F.avg(c), 9).alias("mean"), F.round(F.coalesce(F.stddev_samp(c), F.lit(0.0)), 6).alias("deviation"))
+    kept = df.select(*by, c.cast("double").alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    eps = 2.0 / ACCURACY
+    low, high = ([min(1.0, max(0.0, p + sign * eps)) for p in at] for sign in (-1, 1))
+    near = lambda ps: F.percentile_approx("__v", F.array(*[F.lit(p) for p in ps]), F.lit(ACCURACY))
+    bound = kept.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("__min"), F.max("__v").alias("__max"), near(low).alias("__low"), near(high).alias("__high"))
+    # In a small group a rank is wider than the summary's error, so all its values are its band.
+    small = F.col("n") <= 4 * ACCURACY
+    bands = F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(p).alias("p"), (F.col("__min") if low[i] == 0 else F.when(small, F.col("__min")).otherwise(F.get("__low", i))).alias("low"), (F.col("__max") if high[i] == 1 else F.when(small, F.col("__max")).otherwise(F.get("__high", i))).alias("high"))
+        for i, p in enumerate(at)
+    ])
+    keys = [f"__k{i}" for i in range(len(by))]
+    bound = bound.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], "n", F.explode(bands).alias("b"))
+    same = F.lit(True)
+    for b, k in zip(by, keys):
+        same = same & F.col(b).eqNullSafe(F.col(k))
+    met = kept.join(bound, same).where(F.col("__v") <= F.col("b.high"))
+    # All values below a band fall together into one row of counts.
+    place = F.when(F.col("__v") >= F.col("b.low"), F.col("__v"))
+    counted = met.groupBy(*by, "n", F.col("b.i").alias("i"), F.col("b.p").alias("p"), place.alias("v")).agg(F.count(F.lit(1)).alias("m"))
+    upto = F.sum("m").over(Window.partitionBy(*by, "i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    rank = F.col("p") * (F.col("n") - 1)
+    first = lambda r: F.min(F.when(F.col("v").isNotNull() & (F.col("__upto") > r), F.col("v")))
+    found = counted.withColumn("__upto", upto).groupBy(*by, "n", "i", "p").agg(first(F.floor(rank)).alias("a"), first(F.ceil(rank)).alias("z"))
+    exact = F.col("a") + (F.col("z") - F.col("a")) * (rank - F.floor(rank))
+    return found.groupBy(*by, "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", exact.alias("x")))), lambda r: r["x"]).alias("percentiles"))
+
+
+def latency(df: DataFrame, by: Sequence[str], value: Column | str) -> DataFrame:
+    """N, p50, p90, p99 (interpolated at (n - 1) * p), mean and sample deviation (0 for one value), rounded."""
+    c = F.col(value) if isinstance(value, str) else value
+    quantiles = exact_percentiles(df, by, value, (0.5, 0.9, 0.99))
+    keys = [f"__k{i}" for i in range(len(by))]
+    moments = df.where(c.isNotNull() & ~F.isnan(c)).groupBy(*[F.col(b).alias(k) for b, k in zip(by, keys)]).agg(F.round(F.avg(c), 9).alias("mean"), F.round(F.coalesce(F.stddev_samp(c), F.lit(0.0)), 6).alias("deviation"))
+    same = F.lit(True)
+    for b, k in zip(by, keys):
+        same = same & F.col(b).eqNullSafe(F.col(k))
+    return quantiles.join(moments, same).select(*by, "n", *[F.round(F.get("percentiles", i), 6).alias(f"p{p}") for i, p in enumerate((50, 90, 99))], "mean", "deviation")
 
 
 def throughput(count: Column, seconds: Column) -> Column:

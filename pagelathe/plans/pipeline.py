@@ -41,10 +41,10 @@ def ocr_tasks(s: SparkSession, d: str) -> DataFrame:
 
 
 def region_counts(s: SparkSession, d: str) -> DataFrame:
-    """A customer's orders as regions, their items as detections."""
-    items = table(s, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_linenumber").alias("detections"))
-    regions = table(s, d, "orders").join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left").groupBy("o_custkey").agg(F.collect_list(F.struct("o_orderkey", "detections")).alias("regions"))
-    return reports.region_counts(regions, F.col("regions")).select("o_custkey", "regions_n", "detections_n")
+    """An order's items as regions, each with as many detections as its number."""
+    region = F.struct("l_linenumber", F.sequence(F.lit(1), "l_linenumber").alias("detections"))
+    regions = table(s, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(region).alias("regions"))
+    return reports.region_counts(table(s, d, "orders").join(regions, F.col("o_orderkey") == F.col("l_orderkey"), "left"), F.col("regions")).select("o_orderkey", "regions_n", "detections_n")
 
 
 def stage_state(s: SparkSession, d: str) -> DataFrame:
@@ -175,7 +175,7 @@ def reports_by_pdf(s: SparkSession, d: str) -> DataFrame:
     """Scanned pages of each PDF as one document."""
     pages = _scans(s, d).where("pdf_path IS NOT NULL AND page_number IS NOT NULL")
     one = resolve.one_by_order(pages, ["pdf_path", "page_number"], [F.col("page_id")])
-    return sinks.report_document(one, "pdf_path", "page_number", text.report_page(F.col("page_number") + 1, "text")).select("pdf_path", F.length("report").alias("chars"), F.md5("report").alias("digest"))
+    return sinks.report_document(one, "pdf_path", "page_number", text.report_page(F.col("page_number") + 1, "text")).select("pdf_path", "part", F.length("report").alias("chars"), F.md5("report").alias("digest"))
 
 
 def embedded(s: SparkSession, d: str) -> DataFrame:
@@ -222,7 +222,7 @@ def star_join(s: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "x3_ocr_tasks": ocr_tasks,
     "x4_chunks": lambda s, d: chunks.assemble(_pages(s, d), "rec_id", _first(), _rest()),
-    "x5_flatten": lambda s, d: chunks.flatten_records(_pages(s, d).groupBy("pdf_path").agg(F.collect_list(F.transform("texts", lambda t: F.struct(t.alias("text")))).alias("nested")), "nested").groupBy(F.length("text").alias("chars")).agg(F.count(F.lit(1)).alias("n")),
+    "x5_flatten": lambda s, d: chunks.flatten_records(_pages(s, d).select(F.array(F.transform("texts", lambda t: F.struct(t.alias("text"))), F.lit(None)).alias("nested")), "nested").groupBy(F.length("text").alias("chars")).agg(F.count(F.lit(1)).alias("n")),
     "f14_work_list": lambda s, d: chunks.work_list(table(s, d, "chunk_vectors").select(F.col("vec_id").alias("id")), _hits(s, d).select(F.col("chunk_id").alias("id")), "id"),
     "f15_skips": lambda s, d: chunks.skips(_pages(s, d), "rec_id", F.coalesce(_first(), F.lit("")), F.coalesce(_rest(), F.array().cast("array<string>")), _pages(s, d).where("schema_version IS NULL")),
     "f7_a9_eligible": _eligible,
@@ -330,7 +330,7 @@ SQL = {
 e AS (SELECT image_path, unnest(['', '.pdfium_text.txt', '.page_elements_v3.json', '.graphic_elements_v1.json', '.table_structure_v1.json', '.nemotron_ocr_v1.json', '.embeddings.pt', '.embedder-input.txt', '.page_element_detections.png']) AS kind FROM (SELECT DISTINCT image_path FROM page_texts))
 SELECT image_path, kind, bytes IS NOT NULL AS present, CAST(bytes AS INTEGER) AS bytes FROM e LEFT JOIN f ON path = CASE WHEN kind = '.pdfium_text.txt' THEN regexp_replace(image_path, '\\.[^./]*$', '') || kind ELSE image_path || kind END""",
     "a3_events_by_label": "SELECT coalesce(document_type, 'label_' || (doc_id % 4)) AS label_key, count(*) AS detections FROM documents GROUP BY 1",
-    "a4_region_counts": "WITH i AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) SELECT o_custkey, CAST(count(*) AS INTEGER) AS regions_n, CAST(sum(coalesce(n, 0)) AS INTEGER) AS detections_n FROM orders LEFT JOIN i ON l_orderkey = o_orderkey GROUP BY 1",
+    "a4_region_counts": "WITH i AS (SELECT l_orderkey, count(*) AS n, sum(l_linenumber) AS s FROM lineitem GROUP BY 1) SELECT o_orderkey, CAST(coalesce(n, 0) AS INTEGER) AS regions_n, CAST(coalesce(s, 0) AS INTEGER) AS detections_n FROM orders LEFT JOIN i ON l_orderkey = o_orderkey",
     "a5_ocr_summary": f"WITH f AS (SELECT rec_id, texts, list_filter(texts, lambda t: {_NB.format('t')}) AS k FROM page_texts) SELECT rec_id, CAST(coalesce(len(texts), 0) AS INTEGER) AS regions, CAST(coalesce(len(k), 0) AS INTEGER) AS nonempty, md5(array_to_string(list_transform(k[1:8], lambda t: {_ST.format('''replace(t, chr(10), ' ')''')}), '|')) AS samples FROM f",
     "a6_coverage": f"WITH p AS (SELECT DISTINCT {_K} AS page FROM page_texts WHERE {_K} IS NOT NULL), x AS (SELECT 'scans' AS stage, pdf_path || '#' || page_number AS page FROM page_scans UNION SELECT 'stage' || stage, {_K} FROM region_sidecars WHERE stage IN (3, 4) UNION SELECT 'metrics', {_K} FROM page_metrics), c AS (SELECT stage, count(DISTINCT p.page) AS present FROM x LEFT JOIN p USING (page) GROUP BY 1) SELECT stage, (SELECT count(*) FROM p) AS pages, present, (SELECT count(*) FROM p) - present AS missing FROM c",
     "a7_pages_per_document": "WITH k AS (SELECT pdf_path AS doc, coalesce(CAST(page_number AS VARCHAR), 'none') AS p FROM documents UNION SELECT pdf_path, coalesce(CAST(page_number AS VARCHAR), 'none') FROM page_scans UNION SELECT pdf_path, coalesce(CAST(page_index AS VARCHAR), image_path) FROM page_texts) SELECT doc, count(p) AS pages FROM k GROUP BY 1",
@@ -358,7 +358,7 @@ SELECT image_path, kind, bytes IS NOT NULL AS present, CAST(bytes AS INTEGER) AS
     "u5_distinct_kinds": "SELECT rec_id, array_to_string(list_transform(list_filter(generate_series(1, len(text_kinds)), lambda i: list_position(text_kinds, text_kinds[i]) = i), lambda i: text_kinds[i]), ',') AS kinds FROM page_texts",
     "k4_embedder_input": _CH + ", v AS (SELECT rec_id, string_agg(CASE WHEN starts_with(text, 'passage: ') THEN text ELSE 'passage: ' || text END, chr(10) ORDER BY chunk_no) AS value FROM c GROUP BY 1) SELECT rec_id, CAST(length(value) AS INTEGER) AS chars, md5(value) AS digest FROM v",
     "k14_without_source": "SELECT source, count(*) AS hits FROM query_hits WHERE source IS NULL OR source <> '/data/pdfs/manual/1037909.pdf' GROUP BY 1",
-    "k24_report": "WITH o AS (SELECT * FROM page_scans WHERE pdf_path IS NOT NULL AND page_number IS NOT NULL QUALIFY row_number() OVER (PARTITION BY pdf_path, page_number ORDER BY page_id) = 1), r AS (SELECT pdf_path, string_agg('## Page ' || (page_number + 1) || chr(10) || chr(10) || coalesce(text, ''), chr(10) || chr(10) ORDER BY page_number) AS report FROM o GROUP BY 1) SELECT pdf_path, CAST(length(report) AS INTEGER) AS chars, md5(report) AS digest FROM r",
+    "k24_report": "WITH o AS (SELECT * FROM page_scans WHERE pdf_path IS NOT NULL AND page_number IS NOT NULL QUALIFY row_number() OVER (PARTITION BY pdf_path, page_number ORDER BY page_id) = 1), r AS (SELECT pdf_path, CAST(page_number // 200 AS INTEGER) AS part, string_agg('## Page ' || (page_number + 1) || chr(10) || chr(10) || coalesce(text, ''), chr(10) || chr(10) ORDER BY page_number) AS report FROM o GROUP BY 1, 2) SELECT pdf_path, part, CAST(length(report) AS INTEGER) AS chars, md5(report) AS digest FROM r",
     "pr4_vector_rows": "SELECT path AS text, CAST(TRY_CAST(string_split(list_extract(string_split(path, '_page'), -1), '.')[1] AS INTEGER) AS VARCHAR) AS metadata, source FROM chunk_vectors WHERE vector IS NOT NULL",
     "pr11_collection_split": "SELECT doc_id, CASE WHEN document_type IN ('text', 'audio') THEN 'texts' ELSE 'media' END AS collection FROM documents WHERE document_type IN ('text', 'audio', 'image', 'structured')",
     "f12_filtered": "SELECT hit_id FROM query_hits WHERE source LIKE '%manual%' AND CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.page_number') END = '3'",

@@ -56,12 +56,10 @@ def _vector_query(*make):
 
 
 def pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each label's vectors, masked by even id, pooled and normalised; norm and first component."""
+    """Each vector and its reverse as two token vectors, the second masked for even ids: norm and first component of the pooled one."""
     e = table(spark, sf_dir, "embeddings")
-    rows = F.array_sort(F.collect_list(F.struct("vec_id", "embedding", (F.col("vec_id") % 2 == 0).cast("int").alias("m"))))
-    g = e.groupBy("label").agg(rows.alias("r"))
-    pool = vectors.mean_pool(F.transform("r", lambda x: x["embedding"]), F.transform("r", lambda x: x["m"]))
-    return g.select("label", pool.alias("p")).select("label", F.round(vectors.norm("p"), 6).alias("norm"), F.round(F.get("p", 0), 6).alias("first"))
+    pool = vectors.mean_pool(F.array("embedding", F.reverse("embedding")), F.array(F.lit(1), (F.col("vec_id") % 2).cast("int")))
+    return e.select("vec_id", pool.alias("p")).select("vec_id", F.round(vectors.norm("p"), 6).alias("norm"), F.round(F.get("p", 0), 6).alias("first"))
 
 
 def dimension_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,6 +213,6 @@ SELECT doc_id, CASE WHEN length(t) BETWEEN 1 AND 3000 AND page_number IS NOT NUL
     "f8_score_threshold": "SELECT l_orderkey, l_linenumber, l_quantity / 50 AS score FROM lineitem WHERE l_quantity / 50 >= 0.5 OR l_quantity IS NULL",
     "v13_normalised": _E + "SELECT vec_id, round(sqrt(list_inner_product(v, v)), 6) AS norm, round(v[2], 6) AS second FROM u",
     "v14_normalised_floor": _E + "SELECT vec_id, round(sqrt(list_inner_product(v, v)), 6) AS norm, round(v[3], 6) AS third FROM u",
-    "a24_mean_pool": "WITH d AS (SELECT label, i, avg(embedding[i]::DOUBLE) AS m FROM embeddings, unnest(generate_series(1, 64)) AS u(i) WHERE vec_id % 2 = 0 GROUP BY 1, 2), n AS (SELECT label, sqrt(sum(m * m)) AS s FROM d GROUP BY 1) SELECT label, 1.0::DOUBLE AS norm, round(m / s, 6) AS first FROM d JOIN n USING (label) WHERE i = 1",
+    "a24_mean_pool": "WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS a, list_reverse(list_transform(embedding, lambda x: x::DOUBLE)) AS b FROM embeddings), m AS (SELECT vec_id, CASE WHEN vec_id % 2 = 0 THEN a ELSE list_transform(list_zip(a, b), lambda z: (z[1] + z[2]) / 2) END AS v FROM e) SELECT vec_id, 1.0::DOUBLE AS norm, round(v[1] / sqrt(list_inner_product(v, v)), 6) AS first FROM m",
     "s17_dimension_check": "SELECT count(DISTINCT len(vector)) AS dimensions, count(*) AS vectors, CAST(max(len(vector)) AS INTEGER) AS widest FROM chunk_vectors WHERE vector IS NOT NULL",
 }

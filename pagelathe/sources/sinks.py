@@ -41,10 +41,14 @@ def write_hits(detail: DataFrame, path: str) -> None:
         flat.where(f"NOT hit_at_{k}").write.mode("overwrite").csv(f"{path}/misses_at_{k}", header=True)
 
 
-def report_document(pages: DataFrame, by: str, number: str, section: Column) -> DataFrame:
-    """One Markdown text per document, its pages in order."""
+def report_document(pages: DataFrame, by: str, number: str, section: Column, part_pages: int = 200) -> DataFrame:
+    """Markdown texts of each document in parts of ``part_pages`` pages, in order: ``by``, part, report.
+
+    The parts bound what one task holds, however long a document is.
+    """
+    part = F.floor(F.col(number) / part_pages).cast("int").alias("part")
     ordered = F.array_sort(F.collect_list(F.struct(F.col(number).alias("n"), section.alias("s"))))
-    return pages.groupBy(by).agg(F.array_join(F.transform(ordered, lambda r: r["s"]), "\n\n").alias("report"))
+    return pages.groupBy(by, part).agg(F.array_join(F.transform(ordered, lambda r: r["s"]), "\n\n").alias("report"))
 
 
 def removable(files: DataFrame, stage: Column, least: int) -> DataFrame:

@@ -224,3 +224,14 @@ def test_stream_processes_each_file_once(spark, tmp_path):
     spark.range(10, 15).write.mode("append").parquet(source)
     ingest.ingest(spark, source, "id long", target, state, lambda df: df.where("id % 2 = 0"))
     assert spark.read.parquet(target).count() == 13
+
+
+def test_exact_percentiles_of_large_and_small_groups(spark):
+    rng = np.random.default_rng(9)
+    big, ties = rng.lognormal(0, 2, 60_000), np.repeat([1.0, 2.0, 7.0], [30_000, 25_000, 20])
+    rows = [("big", float(x)) for x in big] + [("ties", float(x)) for x in ties] + [("one", 5.0), (None, 1.0), (None, 2.0), ("one", None), ("none", float("nan"))]
+    at = (0.0, 0.001, 0.5, 0.9, 0.999, 1.0)
+    got = {r.g: r for r in reports.exact_percentiles(spark.createDataFrame(rows, "g string, v double").repartition(7), ["g"], "v", at).collect()}
+    assert got.keys() == {"big", "ties", "one", None}
+    for name, values in (("big", big), ("ties", ties), ("one", [5.0]), (None, [1.0, 2.0])):
+        assert got[name].n == len(values) and np.allclose(got[name].percentiles, np.quantile(values, at), rtol=1e-12)
