@@ -160,6 +160,18 @@ def batches_needed(count: Column, size: int) -> Column:
     return F.ceil(count / F.lit(size)).cast("long")
 
 
+def progress(periods: DataFrame, period: str, count: str) -> DataFrame:
+    """Running total, rate per period so far, and periods the rest takes at that rate.
+
+    ``periods`` has one row for each period (aggregate first): only these few rows meet in one task.
+    """
+    w = Window.orderBy(period).rowsBetween(Window.unboundedPreceding, 0)
+    total = F.sum(count).over(Window.partitionBy())
+    out = periods.select(period, count, F.sum(count).over(w).alias("done"), F.count(F.lit(1)).over(w).alias("__n"), total.alias("__total"))
+    rate = F.col("done") / F.col("__n")
+    return out.select(period, count, "done", F.round(rate, 6).alias("rate"), F.round(F.try_divide(F.col("__total") - F.col("done"), rate), 6).alias("remaining"))
+
+
 def reasons(skips: DataFrame) -> DataFrame:
     """Skips by reason, most first, then by name."""
     return skips.groupBy("reason").agg(F.count(F.lit(1)).alias("pages")).orderBy(F.desc("pages"), "reason")

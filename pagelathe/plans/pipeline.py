@@ -202,6 +202,17 @@ def windows(s: SparkSession, d: str) -> DataFrame:
     return ingest.windowed_counts(table(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type", "value").withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
+def progress(s: SparkSession, d: str) -> DataFrame:
+    """Pages done by the end of each day, rate so far and days left of all pages; one row a day meets in the window."""
+    day = _metrics(s, d).where("run_at IS NOT NULL").groupBy(F.date_format("run_at", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("pages"))
+    return reports.progress(day, "day", "pages")
+
+
+def unique_pages(s: SparkSession, d: str) -> DataFrame:
+    """The first pages by name, each once."""
+    return resolve.first_rows(_pages(s, d).where("image_path IS NOT NULL").select(text.base_name("image_path").alias("image_name")).distinct(), ["image_name"], 50)
+
+
 def collection_split(s: SparkSession, d: str) -> DataFrame:
     """Rows of each collection when types are spread over collections."""
     kinds = {"texts": ["text", "audio"], "media": ["image", "structured"]}
@@ -258,6 +269,8 @@ QUERIES = {
     "l3_hot_models": lambda s, d: reports.hotspots(reports.model_totals(_metrics(s, d)).select("model", "seconds"), "model", 15),
     "l3_hot_components": lambda s, d: reports.hotspots(reports.component_totals(_metrics(s, d)), "component", 20),
     "l1_first_rows": lambda s, d: resolve.first_rows(_pages(s, d).select("image_path", "rec_id"), ["image_path", "rec_id"], 20),
+    "l6_unique_pages": unique_pages,
+    "w6_progress": progress,
     "l8_sample": lambda s, d: resolve.sampled(_docs(s, d).select("doc_id"), 3, "doc_id"),
     "m6_merged_counts": merged_counts,
     "w4_numbered": numbered,
@@ -349,6 +362,8 @@ SELECT image_path, kind, bytes IS NOT NULL AS present, CAST(bytes AS INTEGER) AS
     "l3_hot_models": _MT + "SELECT model, round(s, 4) AS seconds FROM g ORDER BY 2 DESC, 1 LIMIT 15",
     "l3_hot_components": _CT + "SELECT * FROM g ORDER BY seconds DESC, component LIMIT 20",
     "l1_first_rows": "SELECT image_path, rec_id FROM page_texts ORDER BY image_path NULLS FIRST, rec_id LIMIT 20",
+    "l6_unique_pages": "SELECT DISTINCT list_extract(string_split(image_path, '/'), -1) AS image_name FROM page_texts WHERE image_path IS NOT NULL ORDER BY 1 LIMIT 50",
+    "w6_progress": "WITH d AS (SELECT strftime(run_at, '%Y-%m-%d') AS day, count(*) AS pages FROM page_metrics WHERE run_at IS NOT NULL GROUP BY 1), r AS (SELECT day, pages, CAST(sum(pages) OVER (ORDER BY day) AS BIGINT) AS done, row_number() OVER (ORDER BY day) AS n, CAST(sum(pages) OVER () AS BIGINT) AS total FROM d) SELECT day, pages, done, round(done / n, 6) AS rate, round((total - done) / (done / n), 6) AS remaining FROM r",
     "m6_merged_counts": "WITH e AS (SELECT strftime(run_at, '%Y-%m-%d') AS day, unnest(map_entries(counts)) AS c FROM page_metrics) SELECT day, c.key AS kind, CAST(sum(c.value) AS BIGINT) AS total FROM e GROUP BY 1, 2",
     "w4_numbered": "WITH n AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS number FROM documents) SELECT doc_id, number, number // 64 AS batch, number % 4 AS worker FROM n",
     "w5_latest_pages": "SELECT pdf_path, page_index, rec_id FROM page_texts QUALIFY row_number() OVER (PARTITION BY pdf_path, page_index ORDER BY written_at DESC NULLS LAST, rec_id DESC) = 1",

@@ -101,7 +101,40 @@ def metadata_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", out["value"].alias("value"), F.coalesce(F.size(out["items"]), F.lit(-1)).alias("items"))
 
 
+def words_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results whose text is spread over words, made from documents' sources."""
+    raw = F.when(F.pmod("doc_id", F.lit(2)) == 0, F.concat(F.lit('{"words": [{"text": "'), "source", F.lit('"}, {"box": [1]}, {"text": "b"}]}'))).otherwise(F.col("source"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.words_text(raw).alias("words_text"))
+
+
+def record_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T10 over documents as typed records; charts are switched off."""
+    d = _records(table(spark, sf_dir, "documents"))
+    return d.select("doc_id", text.record_location("document_type", "subtype", F.concat(F.lit("t"), F.col("doc_id").cast("string")), F.concat(F.lit("i"), F.col("doc_id").cast("string")), ("table", "image")).alias("location"))
+
+
+def embeddings_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V15 over services' answers of several shapes."""
+    e = table(spark, sf_dir, "embeddings")
+    row = F.to_json("embedding")
+    shape = F.pmod("vec_id", F.lit(4))
+    raw = F.when(shape == 0, F.concat(F.lit('{"embedding": '), row, F.lit("}"))).when(shape == 1, F.concat(F.lit('{"embeddings": ['), row, F.lit("]}"))).when(shape == 2, F.concat(F.lit('{"last_hidden_state": [['), row, F.lit(", "), row, F.lit("]]}"))).otherwise(row)
+    v = vectors.embedding_from_json(raw)
+    return e.select("vec_id", F.size(v).alias("dimensions"), F.round(F.get(v, 5), 5).alias("sixth"))
+
+
+def overlays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K22 without drawing: pixel boxes of detections with a score of at least one half, unknown scores included."""
+    df = _box(table(spark, sf_dir, "lineitem")).withColumn("score", F.when(F.col("l_linenumber") != 3, F.col("l_quantity") / 50))
+    return df.where(labels.keeps_score("score", 0.5)).select("l_orderkey", "l_linenumber", "score", *_axes(lambda: boxes.overlay_pixels("box", _W, _H))())
+
+
 QUERIES = {
+    "t7_words_text": words_texts,
+    "t10_record_location": record_locations,
+    "v15_embedding_from_json": embeddings_from_json,
+    "k22_overlay_boxes": overlays,
+    "g9_centred_canvas": _from("page_scans", "page_id", *[(lambda f=f: boxes.centred_on_canvas("height", "width", (1024, 1024))[f].alias(f)) for f in ("height", "width", "top", "left")], where="height IS NOT NULL AND width IS NOT NULL"),
     "t1_page_key": _from("page_texts", "rec_id", lambda: text.page_key("image_path")["doc"].alias("doc"), lambda: text.page_key("image_path")["page"].alias("page"), lambda: text.page_key("image_path")["image_name"].alias("image_name")),
     "t2_skipped_page_key": _from("page_texts", "rec_id", lambda: text.skipped_page_key("image_path").alias("pdf_page"), lambda: text.skipped_page_key("image_path", 1).alias("pdf_page_base1")),
     "t3_split_pdf_page": _from("query_rows", "query_id", "pdf_page", lambda: text.split_pdf_page("pdf_page")["pdf"].alias("pdf_part"), lambda: text.split_pdf_page("pdf_page")["page"].alias("page_part")),
@@ -170,6 +203,11 @@ _E = "WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE *
 _U = r"'^[\s\x1c-\x1f\x{85}\p{Z}]+|[\s\x1c-\x1f\x{85}\p{Z}]+$'"
 
 SQL = {
+    "t7_words_text": "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN source || ' b' ELSE source END AS words_text FROM documents",
+    "t10_record_location": "SELECT doc_id, CASE WHEN document_type = 'structured' THEN CASE WHEN doc_id % 4 NOT IN (0, 2) THEN 't' || doc_id END WHEN document_type = 'image' THEN 'i' || doc_id END AS location FROM documents",
+    "v15_embedding_from_json": "SELECT vec_id, 64 AS dimensions, round(embedding[6]::DOUBLE, 5) AS sixth FROM embeddings",
+    "k22_overlay_boxes": _pixels("round_even", (_W, _H), [f"b1 * {_W}, 0", f"b2 * {_H}, 0", f"b3 * {_W}, 0", f"b4 * {_H}, 0"]).replace("SELECT l_orderkey, l_linenumber, CAST", "SELECT l_orderkey, l_linenumber, score, CAST").replace("FROM lineitem)", ", CASE WHEN l_linenumber <> 3 THEN l_quantity / 50 END AS score FROM lineitem WHERE l_linenumber = 3 OR l_quantity IS NULL OR l_quantity / 50 >= 0.5)"),
+    "g9_centred_canvas": "WITH s AS (SELECT page_id, least(1.0::DOUBLE, 1024::DOUBLE / height, 1024::DOUBLE / width) AS s, height AS h, width AS w FROM page_scans WHERE height IS NOT NULL AND width IS NOT NULL), n AS (SELECT page_id, CAST(greatest(1, round_even(h * s, 0)) AS INTEGER) AS height, CAST(greatest(1, round_even(w * s, 0)) AS INTEGER) AS width FROM s) SELECT page_id, height, width, CAST(floor((1024 - height) / 2) AS INTEGER) AS top, CAST(floor((1024 - width) / 2) AS INTEGER) AS left FROM n",
     "t1_page_key": rf"SELECT rec_id, coalesce(nullif(regexp_extract({_IMG}, '(?i)^(.+)_page(\d+)\.(png|jpg|jpeg)$', 1), ''), {_STEM}) AS doc, TRY_CAST(regexp_extract({_IMG}, '(?i)^(.+)_page(\d+)\.(png|jpg|jpeg)$', 2) AS INTEGER) AS page, {_IMG} AS image_name FROM page_texts",
     "t2_skipped_page_key": rf"SELECT rec_id, CASE WHEN regexp_matches({_STEM}, '^(\d+)_page(\d+)$') THEN regexp_extract({_STEM}, '^(\d+)_page(\d+)$', 1) || '_' || (CAST(regexp_extract({_STEM}, '^(\d+)_page(\d+)$', 2) AS BIGINT) + 1) END AS pdf_page, CASE WHEN regexp_matches({_STEM}, '^(\d+)_page(\d+)$') THEN regexp_extract({_STEM}, '^(\d+)_page(\d+)$', 1) || '_' || CAST(regexp_extract({_STEM}, '^(\d+)_page(\d+)$', 2) AS BIGINT) END AS pdf_page_base1 FROM page_texts",
     "t3_split_pdf_page": "SELECT query_id, pdf_page, string_split(pdf_page, '_')[1] AS pdf_part, TRY_CAST(CASE WHEN instr(pdf_page, '_') > 0 THEN substr(pdf_page, instr(pdf_page, '_') + 1) END AS INTEGER) AS page_part FROM query_rows",
