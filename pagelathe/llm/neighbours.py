@@ -73,6 +73,14 @@ def _nearest_lists(x: np.ndarray, centroids: np.ndarray, probes: int) -> np.ndar
     return np.argpartition(-(x @ centroids.T), probes - 1, axis=1)[:, :probes]
 
 
+def _dense_best(queries: np.ndarray, members: np.ndarray, few: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the ``few`` most similar members of each query."""
+    s = queries @ members.T
+    few = min(few + 1, s.shape[1])
+    best = np.argpartition(-s, few - 1, axis=1)[:, :few]
+    return np.repeat(np.arange(len(s)), few), best.reshape(-1)
+
+
 def adaptive_scan(queries: np.ndarray, members: np.ndarray, query_ids: np.ndarray, member_ids: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k most similar members of each query with similarity of at least ``floor``: query id, member id, similarity.
 
@@ -93,16 +101,24 @@ def adaptive_scan(queries: np.ndarray, members: np.ndarray, query_ids: np.ndarra
             partial *= -2
             partial += norm_q[row : row + 2048, None]
             partial += norm_m[None, at : at + 2048]
-            q, m = np.nonzero(partial <= bound[row : row + 2048, None] * np.float32(slack[0]))
-            rest = partial[q, m]
-            q, m = q + row, m + at
-            other = query_ids[q] != member_ids[m]
-            q, m, rest = q[other], m[other], rest[other]
-            for begin, end, loose in zip(cuts, cuts[1:], slack[1:]):
-                gap = queries[q, begin:end] - members[m, begin:end]
-                rest = rest + np.einsum("ij,ij->i", gap, gap)
-                keep = rest <= bound[q] * loose + 1e-5
-                q, m, rest = q[keep], m[keep], rest[keep]
+            near = partial <= bound[row : row + 2048, None] * np.float32(slack[0])
+            if np.count_nonzero(near) > near.size // 16:
+                # Too dense to be worth going pair by pair: one product, and of each query the best few.
+                q, m = _dense_best(queries[row : row + 2048], members[at : at + 2048], 4 * k)
+                q, m = q + row, m + at
+                other = query_ids[q] != member_ids[m]
+                q, m = q[other], m[other]
+            else:
+                q, m = np.nonzero(near)
+                rest = partial[q, m]
+                q, m = q + row, m + at
+                other = query_ids[q] != member_ids[m]
+                q, m, rest = q[other], m[other], rest[other]
+                for begin, end, loose in zip(cuts, cuts[1:], slack[1:]):
+                    gap = queries[q, begin:end] - members[m, begin:end]
+                    rest = rest + np.einsum("ij,ij->i", gap, gap)
+                    keep = rest <= bound[q] * loose + 1e-5
+                    q, m, rest = q[keep], m[keep], rest[keep]
             exact = np.einsum("ij,ij->i", queries[q].astype(np.float64), members[m].astype(np.float64))
             keep = exact >= floor
             found.append((q[keep], m[keep], exact[keep]))

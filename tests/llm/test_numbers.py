@@ -76,6 +76,17 @@ def test_adaptive_scan_abandons_nothing_within_reach():
     assert len(want) > 50 and len(set(zip(q, m)) & want) >= 0.99 * len(want)
 
 
+def test_a_dense_third_of_all_rows(spark):
+    rng = np.random.default_rng(8)
+    blob = rng.normal(size=96) + rng.normal(size=(4000, 96)) * 0.15
+    x = np.concatenate([blob, rng.normal(size=(2000, 96))]).astype(np.float32)
+    ids = np.arange(len(x))
+    want = brute_pairs(ids, x.astype(np.float64), 5, 0.85)
+    q, m, _ = neighbours.adaptive_scan(unit := neighbours._unit(x) @ neighbours.rotation(96), unit, ids, ids, 5, 0.85)
+    got = {(min(a, b), max(a, b)) for a, b in zip(q.tolist(), m.tolist())}
+    assert len(got & want) >= 0.99 * len(want) > 9000
+
+
 # --- percentiles
 
 @pytest.mark.parametrize("seed", range(3))
