@@ -302,10 +302,21 @@ def test_scan_defects(spark):
 
 
 def test_paragraphs_are_continuous(spark):
-    df, lex = scan(spark, [(1, "p", 0, "the gr0up un-\nder the stone-\ndock and\n\nthe capi-\nPage 1"), (2, "p", 1, "Page 2\ntal and the\nsma1l image")])
-    got = {(r.page_id, r.paragraph_no): (r.paragraph, r.carried) for r in scan_noise.repair_pages(df, lex).collect()}
-    assert got[(1, 0)][0] == "the group under the stone-dock and"
-    assert got[(1, 1)] == ("the capital", True) and got[(2, 0)][0] == "and the small image"
+    pages = [
+        (1, "p", 0, "the gr0up un-\nder the stone-\ndock and\n\nthe capi-\nPage 1"), (2, "p", 1, "Page 2\ntal and the\nsma1l image"), (3, "p", 2, "under a\nPage 3"), (4, "p", 3, "warm stone.\n\nA number"),
+        (5, "p", 5, "and the dock"), (6, "q", 6, "Stone"), (7, "p", 2, "under a\nPage 3"), (8, None, None, "the image"), (9, "q", 7, None), (10, "q", 8, ""),
+    ]
+    df, lex = scan(spark, pages)
+    got = {(r.page_id, r.paragraph_no): (r.paragraph, r.pages) for r in scan_noise.repair_pages(df, lex).collect()}
+    assert got == {
+        (1, 0): ("the group under the stone-dock and", 1), (1, 1): ("the capital and the small image under a warm stone.", 4), (4, 1): ("A number", 1),
+        (5, 0): ("and the dock", 1), (6, 0): ("Stone", 1), (7, 0): ("under a", 1), (8, 0): ("the image", 1),
+    }
+    rng = random.Random(5)
+    long = [(n, "p", n, " ".join("".join(rng.choices("bdgkmpvz", k=7)) for _ in range(6))) for n in range(40)]
+    df, lex = scan(spark, long)
+    assert [r.pages for r in scan_noise.repair_pages(df, lex).collect()] == [40]
+    assert scan_noise.repair_pages(df.limit(0), lex).count() == 0
 
 
 def test_very_long_scan(spark):
