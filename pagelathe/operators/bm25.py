@@ -15,10 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagelathe.session import cut
+
 #: Term-frequency saturation and length normalisation.
 K1, B = 1.2, 0.75
 #: Distinct query terms and queries scored in one pass.
-MOST_TERMS, MOST_QUERIES, BLOCK = 100_000, 4_000, 128
+MOST_TERMS, MOST_QUERIES, BLOCK = 100_000, 1_000, 128
 _TERM = r"[^\p{L}\p{N}]+"
 _WORDS = re.compile(r"[^\W_]+")
 
@@ -34,6 +36,25 @@ def corpus_statistics(docs: DataFrame, key: str, text: str, vocabulary: DataFram
     return each.join(F.broadcast(vocabulary) if vocabulary.count() <= MOST_TERMS else vocabulary, "term").groupBy("term").agg(F.count(F.lit(1)).alias("documents"))
 
 
+def _counts(docs: DataFrame, text: str, wanted: set[str]) -> tuple[int, int, dict[str, int]]:
+    """Documents, their terms in all, and documents that contain each wanted term: one pass over all documents, partly summed in each task."""
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = length = 0
+        found: Counter[str] = Counter()
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                words = terms(value)
+                n, length = n + 1, length + len(words)
+                found.update(shared.value.intersection(words))
+        yield pa.RecordBatch.from_arrays([pa.array([None, None, *found], pa.string()), pa.array([n, length, *found.values()], pa.int64()), pa.array([0, 1] + [2] * len(found), pa.int32())], names=["term", "n", "what"])
+
+    rows = docs.select(F.col(text)).mapInArrow(count, "term string, n long, what int").groupBy("what", "term").agg(F.sum("n").alias("n")).collect()
+    total = {r.what: r.n for r in rows if r.what < 2}
+    return total.get(0, 0), total.get(1, 0), {r.term: r.n for r in rows if r.what == 2}
+
+
 def bm25_top_k(docs: DataFrame, key: str, text: str, queries: DataFrame, query_key: str, query: str, k: int = 10) -> DataFrame:
     """The ``k`` best documents of each query: query_id, id, score (rounded to 6 decimals), rank.
 
@@ -43,26 +64,23 @@ def bm25_top_k(docs: DataFrame, key: str, text: str, queries: DataFrame, query_k
     spark = docs.sparkSession
     asked = queries.where(F.col(query_key).isNotNull() & F.col(query).isNotNull()).groupBy(F.col(query_key).cast("long").alias("query_id")).agg(F.min(query).alias("q"))
     whole = docs.where(F.col(text).isNotNull())
-    words = F.filter(F.split(F.lower(F.col(text)), _TERM), lambda w: w != "")
-    total = whole.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(words)).alias("length")).first()
-    if not total.n or not total.length:
-        return spark.createDataFrame([], "query_id long, id long, score double, rank int")
-    vocabulary = asked.select(F.explode(F.array_distinct(F.split(F.lower("q"), _TERM))).alias("term")).where("term <> ''").distinct()
-    frequency = corpus_statistics(whole, key, text, vocabulary)
+    asked = cut(asked, "bm25-queries")
     passes = max(1, -(-asked.count() // MOST_QUERIES))
     out = None
     for part in range(passes):
         rows = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == part).orderBy("query_id").collect()
         lists = [sorted(set(terms(r.q))) for r in rows]
-        known = {r.term: r.documents for r in (frequency if passes == 1 else frequency.join(spark.createDataFrame([(t,) for t in sorted({t for x in lists for t in x})] or [("",)], "term string"), "term")).collect()}
+        n, length, known = _counts(whole, text, {t for x in lists for t in x})
+        if not length:
+            return spark.createDataFrame([], "query_id long, id long, score double, rank int")
         place = {t: i for i, t in enumerate(sorted(known))}
-        idf = np.array([np.log(1 + (total.n - known[t] + 0.5) / (known[t] + 0.5)) for t in sorted(known)])
+        idf = np.array([np.log(1 + (n - known[t] + 0.5) / (known[t] + 0.5)) for t in sorted(known)])
         hot = np.zeros((len(place), len(rows)))
         for j, found in enumerate(lists):
             for t in found:
                 if t in place:
                     hot[place[t], j] = 1
-        shared = spark.sparkContext.broadcast((place, idf, hot, np.array([r.query_id for r in rows], np.int64), total.length))
+        shared = spark.sparkContext.broadcast((place, idf, hot, np.array([r.query_id for r in rows], np.int64), length / n))
 
         def score(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             place, idf, hot, q_ids, mean = shared.value

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
 from typing import Protocol
 
 from pyspark.errors import AnalysisException
@@ -80,6 +81,14 @@ class TableStore:
         self.create_index(name, rows)
         return self.scan(name, with_vector=False).count()
 
+    def run_async(self, name: str, rows: DataFrame) -> Future[int]:
+        """``run`` in a thread of its own; the future gives the count or raises."""
+        pool = ThreadPoolExecutor(1)
+        try:
+            return pool.submit(self.run, name, rows)
+        finally:
+            pool.shutdown(wait=False)
+
     def split_run(self, rows: DataFrame, kinds: dict[str, list[str]], kind: str) -> None:
         """One collection for each list of document types."""
         kept = cut(rows, "split-run")

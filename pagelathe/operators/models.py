@@ -153,3 +153,14 @@ class HttpBackend:
         if found is None or len(found) != len(batch):
             raise ValueError(f"{None if found is None else len(found)} results for {len(batch)} inputs")
         return found
+
+
+def device_list(wanted: str, available: int) -> list[int]:
+    """device numbers of ``all`` or of a comma-separated list, each once, in order; one out of range is an error."""
+    if wanted.strip().lower() == "all":
+        return list(range(available))
+    found = [int(x) for x in wanted.split(",") if x.strip()]
+    wrong = [x for x in found if not 0 <= x < available]
+    if wrong:
+        raise ValueError(f"no devices {wrong} among {available}")
+    return list(dict.fromkeys(found))

@@ -54,3 +54,44 @@ def report_document(pages: DataFrame, by: str, number: str, section: Column, par
 def removable(files: DataFrame, stage: Column, least: int) -> DataFrame:
     """Files of stage ``least`` and above, by stage: stage, files, bytes (the dry run; nothing is deleted)."""
     return files.withColumn("stage", stage).where(F.col("stage") >= least).groupBy("stage").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+def write_bundle(files: DataFrame, path: str, most_bytes: int = 1 << 30) -> int:
+    """Files (name, content) and a manifest in one zip on the driver; how many. Beyond ``most_bytes`` it refuses before reading contents."""
+    import zipfile
+
+    size = files.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    if size > most_bytes:
+        raise ValueError(f"{size} bytes are too many for one bundle")
+    count = 0
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        names = []
+        for row in files.select("name", "content").orderBy("name").toLocalIterator():
+            out.writestr(row.name, bytes(row.content))
+            names.append(row.name)
+            count += 1
+        out.writestr("manifest.txt", "\n".join(names))
+    return count
+
+
+def schema_tree(df: DataFrame, depth: int = 3) -> list[str]:
+    """A table's nested structure as indented lines, to a depth. Nothing is unpickled to find it."""
+    from pyspark.sql import types as T
+
+    lines: list[str] = []
+
+    def walk(name: str, kind: T.DataType, level: int) -> None:
+        lines.append("  " * level + f"{name}: {kind.typeName()}")
+        if level + 1 >= depth:
+            return
+        if isinstance(kind, T.StructType):
+            for field in kind:
+                walk(field.name, field.dataType, level + 1)
+        elif isinstance(kind, T.ArrayType):
+            walk("[]", kind.elementType, level + 1)
+        elif isinstance(kind, T.MapType):
+            walk("{}", kind.valueType, level + 1)
+
+    for field in df.schema:
+        walk(field.name, field.dataType, 0)
+    return lines

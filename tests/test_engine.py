@@ -202,13 +202,14 @@ def test_collections(spark, tmp_path):
     assert [r.id for r in near] == [1, 4] and "vector" not in near[0]
     words = spark.createDataFrame([(9, 2, 1)], "query_id long, id long, rank int")
     assert store.retrieval("c", asked, 5, keywords=words).where("id = 2").count() == 1
+    assert store.run_async("e", rows).result(120) == 3
     store.remove_source("c", "s")
     assert {r.id for r in store.scan("c").collect()} == {2, 3}
     store.reindex("c", lambda r: r.select("id", F.array(F.lit(7.0).cast("float"), F.lit(0.0).cast("float")).alias("vector")), "d")
     assert store.scan("d").first().vector == [7.0, 0.0]
     store.split_run(rows.withColumn("kind", F.lit("text")), {"only": ["text"], "none": ["image"]}, "kind")
     assert store.scan("only").count() == 3 and store.scan("none").count() == 0
-    assert {r.collection_name for r in store.catalog().collect()} == {"c", "d", "only", "none"}
+    assert {r.collection_name for r in store.catalog().collect()} == {"c", "d", "e", "only", "none"}
     assert collections.catalog_match(store.catalog(), collection_name="on").count() == 2
     assert collections.catalog_match(store.catalog(), "exact", collection_name="c").count() == 1
     with pytest.raises(ValueError, match="no collection"):
@@ -235,3 +236,23 @@ def test_exact_percentiles_of_large_and_small_groups(spark):
     assert got.keys() == {"big", "ties", "one", None}
     for name, values in (("big", big), ("ties", ties), ("one", [5.0]), (None, [1.0, 2.0])):
         assert got[name].n == len(values) and np.allclose(got[name].percentiles, np.quantile(values, at), rtol=1e-12)
+
+
+def test_bundle_tree_images_and_devices(spark, tmp_path):
+    import base64
+    import zipfile
+
+    files = spark.createDataFrame([("b", bytearray(b"2")), ("a", bytearray(b"1"))], "name string, content binary")
+    assert sinks.write_bundle(files, f"{tmp_path}/x.zip") == 2
+    with zipfile.ZipFile(f"{tmp_path}/x.zip") as z:
+        assert z.namelist() == ["a", "b", "manifest.txt"] and z.read("manifest.txt") == b"a\nb"
+    with pytest.raises(ValueError, match="too many"):
+        sinks.write_bundle(files, f"{tmp_path}/y.zip", 1)
+    assert sinks.schema_tree(spark.createDataFrame([], "a array<struct<b:int>>, c int"), 2) == ["a: array", "  []: struct", "c: integer"]
+    raw = base64.b64decode(media.png_base64(np.ones((3, 2, 5)) * 0.5))
+    assert raw[:8] == b"\x89PNG\r\n\x1a\n" and raw[16:24] == (5).to_bytes(4, "big") + (2).to_bytes(4, "big")
+    boxed = media.letterboxed(np.zeros((1, 10, 20), np.uint8), (8, 8))
+    assert boxed.shape == (1, 8, 8) and (boxed[0, :4] == 0).all() and (boxed[0, 4:] == 114).all()
+    assert models.device_list("all", 2) == [0, 1] and models.device_list("1,0,1", 2) == [1, 0]
+    with pytest.raises(ValueError):
+        models.device_list("2", 2)
