@@ -108,6 +108,9 @@ found AS (SELECT rec_id, CAST(text_no AS INTEGER) AS text_no, CAST(line_no AS IN
 """
 SQL = {
     "p3_found": _P3 + "SELECT DISTINCT rec_id, text_no, line_no FROM found",
+    "p3_cleaned": _P3 + """, d AS (SELECT rec_id, text_no, list(line_no) AS dl FROM (SELECT DISTINCT * FROM found) GROUP BY 1, 2)
+SELECT t.rec_id, CAST(t.text_no AS INTEGER) AS text_no, CASE WHEN dl IS NULL THEN text ELSE array_to_string(list_filter(string_split(text, chr(10)), lambda x, i: NOT list_contains(dl, i - 1)), chr(10)) END AS text,
+  CAST(coalesce(len(dl), 0) AS INTEGER) AS removed FROM t LEFT JOIN d ON d.rec_id = t.rec_id AND d.text_no = t.text_no""",
     "p9_found": _P9 + "SELECT doc_id, item_id FROM found",
     "p9_items": _P9 + "SELECT item_id, count(*) AS documents FROM found GROUP BY 1",
     "p10_found": _P10 + "SELECT doc_id FROM share WHERE s >= 0.3",
