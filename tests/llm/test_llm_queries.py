@@ -1,8 +1,8 @@
 """Every query of the subpackage with SQL gives the SQL's rows; every other runs."""
 
 import pytest
-from comparison import assert_same, connection
 from pagelathe.llm import registry
+from tests.comparison import assert_same, connection
 
 QUERIES, SQL = registry.queries(), registry.oracle_sql()
 
