@@ -17,8 +17,8 @@ def connection(sf_dir: str):
 def canonical(df: pd.DataFrame) -> pd.DataFrame:
     df = df[sorted(df.columns)].copy()
     for c in df.columns:
-        if pd.api.types.is_float_dtype(df[c]):
-            df[c] = df[c].round(9)
+        if pd.api.types.is_numeric_dtype(df[c]) and not pd.api.types.is_bool_dtype(df[c]):
+            df[c] = df[c].astype(float).round(9)
         df[c] = df[c].astype(str).replace({"None": "-", "nan": "-", "<NA>": "-", "NaT": "-"})
     return df.sort_values(list(df.columns)).reset_index(drop=True)
 
