@@ -27,6 +27,8 @@ from pagelathe.llm.codepoints import decode, mix, slices, words
 RUN, FEATURE_RUN = 8, 4
 #: Words of a unit, at most.
 UNIT_WORDS = 16
+#: Units of a chain the field is fitted on, at most (decoding takes whole documents).
+FIT_UNITS = 32
 #: Labelled documents the field is fitted on, at most.
 SAMPLE_DOCUMENTS = 600
 
@@ -176,7 +178,13 @@ def train_field(df: DataFrame, key: str, text: str, sample: int = SAMPLE_DOCUMEN
     drawn = df.where(F.col(key).isNotNull() & (F.xxhash64(key) <= F.lit(upto)) & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("text"))
     texts = pa.array([r.text for r in sorted(drawn.limit(2 * sample).collect(), key=lambda r: (str(r.k), r.text))], pa.string())
     u = units_of(*decode(texts))
-    return LineField().fit(u.owner, u.features, (2 * u.repeated >= u.words).astype(np.int64))
+    # Chains are fitted in stretches of FIT_UNITS units, so one long document does not set the number of steps.
+    new = np.ones(len(u.owner), bool)
+    new[1:] = u.owner[1:] != u.owner[:-1]
+    first = np.flatnonzero(new)
+    within = np.arange(len(new)) - np.repeat(first, np.diff(np.append(first, len(new))))
+    chain = np.cumsum(new | (within % FIT_UNITS == 0))
+    return LineField().fit(chain, u.features, (2 * u.repeated >= u.words).astype(np.int64))
 
 
 def _label(field: LineField, retain: float):
