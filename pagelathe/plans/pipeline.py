@@ -86,8 +86,10 @@ def skipped_asked(s: SparkSession, d: str) -> DataFrame:
 
 def share_affected(s: SparkSession, d: str) -> DataFrame:
     """Percent of queries whose page was skipped."""
-    hit = skipped_asked(s, d).agg(F.coalesce(F.sum("queries"), F.lit(0)).alias("affected"))
-    return hit.crossJoin(_asked(s, d).agg(F.count("pdf_page").alias("queries"))).select("affected", "queries", reports.share_percent(F.col("affected"), F.col("queries")).alias("percent"))
+    hit = skipped_asked(s, d).select(F.col("queries").alias("affected"), F.lit(0).cast("long").alias("queries"))
+    every = _asked(s, d).where("pdf_page IS NOT NULL").select(F.lit(0).cast("long").alias("affected"), F.lit(1).cast("long").alias("queries"))
+    whole = hit.unionByName(every).agg(F.coalesce(F.sum("affected"), F.lit(0)).alias("affected"), F.coalesce(F.sum("queries"), F.lit(0)).alias("queries"))
+    return whole.select("affected", "queries", reports.share_percent(F.col("affected"), F.col("queries")).alias("percent"))
 
 
 def enriched(s: SparkSession, d: str) -> DataFrame:
