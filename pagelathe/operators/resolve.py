@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from pagelathe.functions.text import stem
 
-#: What belongs to a page besides its image.
-ARTIFACTS = (".pdfium_text.txt", ".page_elements_v3.json", ".graphic_elements_v1.json", ".table_structure_v1.json", ".nemotron_ocr_v1.json", ".embeddings.pt", ".embedder-input.txt", ".page_element_detections.png")
+#: What belongs to a page besides its image; where a recogniser names its files otherwise, pass ``kinds``.
+ARTIFACTS = (".pdfium_text.txt", ".page_elements_v3.json", ".graphic_elements_v1.json", ".table_structure_v1.json", ".ocr_v1.json", ".embeddings.pt", ".embedder-input.txt", ".page_element_detections.png")
 
 
 def with_sidecar(images: DataFrame, sidecars: DataFrame, key: str) -> DataFrame:
@@ -90,11 +90,11 @@ def window_text(window: DataFrame, order: Sequence[str], text: str) -> DataFrame
     return window.groupBy("anchor").agg(F.array_join(F.transform(ordered, lambda r: r["__t"]), "\n").alias("text"))
 
 
-def artifact_presence(pages: DataFrame, image: str, files: DataFrame) -> DataFrame:
+def artifact_presence(pages: DataFrame, image: str, files: DataFrame, kinds: Sequence[str] = ARTIFACTS) -> DataFrame:
     """For each page and kind of artifact, whether the file exists and its size: image_path, kind, present, bytes."""
-    each = pages.select(F.col(image).alias("image_path"), F.explode(F.array(F.lit(""), *[F.lit(a) for a in ARTIFACTS])).alias("kind"))
+    each = pages.select(F.col(image).alias("image_path"), F.explode(F.array(F.lit(""), *[F.lit(a) for a in kinds])).alias("kind"))
     # The page's text is stored under the stem, all else under the image's full name.
-    path = F.when(F.col("kind") == ARTIFACTS[0], F.concat(F.regexp_replace("image_path", r"\.[^./]*$", ""), "kind")).otherwise(F.concat("image_path", "kind"))
+    path = F.when(F.col("kind").endswith(".txt") & (F.col("kind") != ".embedder-input.txt"), F.concat(F.regexp_replace("image_path", r"\.[^./]*$", ""), "kind")).otherwise(F.concat("image_path", "kind"))
     known = files.groupBy("path").agg(F.max("length").alias("bytes"))
     return each.withColumn("path", path).join(known, "path", "left").select("image_path", "kind", F.col("bytes").isNotNull().alias("present"), "bytes")
 

@@ -342,7 +342,7 @@ SQL = {
     "j10_context_window": "SELECT page_id AS anchor, CAST(length(string_agg(d.text, chr(10) ORDER BY d.page_number, doc_id)) AS INTEGER) AS chars, md5(string_agg(d.text, chr(10) ORDER BY d.page_number, doc_id)) AS digest FROM page_scans s JOIN documents d ON d.pdf_path = s.pdf_path AND d.page_number BETWEEN s.page_number - 1 AND s.page_number + 1 WHERE d.text IS NOT NULL GROUP BY 1",
     "j11_zip_shortest": "SELECT rec_id, CAST(least(len(texts), len(text_kinds)) AS INTEGER) AS pairs FROM page_texts WHERE texts IS NOT NULL AND text_kinds IS NOT NULL",
     "j13_artifacts": f"""WITH f AS (SELECT '/pages/' || {_STEM} || '_page' || printf('%04d', page_index + 1) || '.png' || CASE WHEN stage = 3 THEN '.graphic_elements_v1.json' ELSE '.table_structure_v1.json' END AS path, max(length(payload)) AS bytes FROM region_sidecars WHERE payload IS NOT NULL GROUP BY 1),
-e AS (SELECT image_path, unnest(['', '.pdfium_text.txt', '.page_elements_v3.json', '.graphic_elements_v1.json', '.table_structure_v1.json', '.nemotron_ocr_v1.json', '.embeddings.pt', '.embedder-input.txt', '.page_element_detections.png']) AS kind FROM (SELECT DISTINCT image_path FROM page_texts))
+e AS (SELECT image_path, unnest(['', '.pdfium_text.txt', '.page_elements_v3.json', '.graphic_elements_v1.json', '.table_structure_v1.json', '.ocr_v1.json', '.embeddings.pt', '.embedder-input.txt', '.page_element_detections.png']) AS kind FROM (SELECT DISTINCT image_path FROM page_texts))
 SELECT image_path, kind, bytes IS NOT NULL AS present, CAST(bytes AS INTEGER) AS bytes FROM e LEFT JOIN f ON path = CASE WHEN kind = '.pdfium_text.txt' THEN regexp_replace(image_path, '\\.[^./]*$', '') || kind ELSE image_path || kind END""",
     "a3_events_by_label": "SELECT coalesce(document_type, 'label_' || (doc_id % 4)) AS label_key, count(*) AS detections FROM documents GROUP BY 1",
     "a4_region_counts": "WITH i AS (SELECT l_orderkey, count(*) AS n, sum(l_linenumber) AS s FROM lineitem GROUP BY 1) SELECT o_orderkey, CAST(coalesce(n, 0) AS INTEGER) AS regions_n, CAST(coalesce(s, 0) AS INTEGER) AS detections_n FROM orders LEFT JOIN i ON l_orderkey = o_orderkey",

@@ -143,7 +143,7 @@ QUERIES = {
     "pr7_retrieved_key": _from("query_hits", "hit_id", lambda: text.retrieved_key("source", "metadata").alias("key")),
     "pr9_embedding_stem": _from("chunk_vectors", "vec_id", lambda: text.embedding_stem("path").alias("stem")),
     "pr10_preview": _from("page_texts", "rec_id", lambda: text.preview(F.filter("texts", lambda x: x.isNotNull())).alias("preview")),
-    "pr12_artifact_paths": _from("page_texts", "rec_id", lambda: F.explode(F.array(*[F.concat("image_path", F.lit(s)) for s in (".page_elements_v3.json", ".graphic_elements_v1.json", ".table_structure_v1.json", ".nemotron_ocr_v1.json", ".embeddings.pt", ".embedder-input.txt", ".page_element_detections.png")])).alias("path")),
+    "pr12_artifact_paths": _from("page_texts", "rec_id", lambda: F.explode(F.array(*[F.concat("image_path", F.lit(s)) for s in (".page_elements_v3.json", ".graphic_elements_v1.json", ".table_structure_v1.json", ".ocr_v1.json", ".embeddings.pt", ".embedder-input.txt", ".page_element_detections.png")])).alias("path")),
     "t6_ocr_text": ocr_texts,
     "t9_record_text": record_texts,
     "t11_metadata_cell": metadata_cells,
@@ -216,7 +216,7 @@ SQL = {
     "pr7_retrieved_key": f"SELECT hit_id, string_split({_BASE.format('source')}, '_')[1] || '_' || metadata AS key FROM query_hits",
     "pr9_embedding_stem": rf"SELECT vec_id, CASE WHEN {_BASE.format('path')} LIKE '%.embedding_results.pt' THEN replace({_BASE.format('path')}, '.embedding_results.pt', '') ELSE regexp_replace({_BASE.format('path')}, '\.[^.]*$', '') END AS stem FROM chunk_vectors",
     "pr10_preview": "WITH w AS (SELECT rec_id, replace(array_to_string(list_filter(texts, lambda x: x IS NOT NULL), ' '), chr(10), ' ') AS t FROM page_texts) SELECT rec_id, CASE WHEN length(t) > 200 THEN substr(t, 1, 200) || '…' ELSE t END AS preview FROM w",
-    "pr12_artifact_paths": "SELECT rec_id, image_path || unnest(['.page_elements_v3.json', '.graphic_elements_v1.json', '.table_structure_v1.json', '.nemotron_ocr_v1.json', '.embeddings.pt', '.embedder-input.txt', '.page_element_detections.png']) AS path FROM page_texts",
+    "pr12_artifact_paths": "SELECT rec_id, image_path || unnest(['.page_elements_v3.json', '.graphic_elements_v1.json', '.table_structure_v1.json', '.ocr_v1.json', '.embeddings.pt', '.embedder-input.txt', '.page_element_detections.png']) AS path FROM page_texts",
     "t6_ocr_text": rf"""WITH d AS (SELECT doc_id, regexp_replace(regexp_replace(coalesce(regexp_replace(substr(text, 1, 40), '["\\\n\r\t]', ' ', 'g'), ''), {_U}, '', 'g'), {_U}, '', 'g') AS t FROM documents)
 SELECT doc_id, CASE doc_id % 5 WHEN 2 THEN CASE WHEN t = '' THEN '{{"text":"' || coalesce((SELECT regexp_replace(substr(text, 1, 40), '["\\\n\r\t]', ' ', 'g') FROM documents x WHERE x.doc_id = d.doc_id), '') || '"}} b' ELSE t || ' b' END
  WHEN 0 THEN CASE WHEN t = '' THEN '{{"text": "' || coalesce((SELECT regexp_replace(substr(text, 1, 40), '["\\\n\r\t]', ' ', 'g') FROM documents x WHERE x.doc_id = d.doc_id), '') || '"}}' ELSE t END

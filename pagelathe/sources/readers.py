@@ -14,8 +14,8 @@ from pagelathe.sources.schemas import METRICS, SKIPS
 #: Image extensions of a page folder and of a benchmark folder.
 IMAGE_EXTENSIONS = ("png", "jpg", "jpeg")
 WIDE_IMAGE_EXTENSIONS = (*IMAGE_EXTENSIONS, "webp", "bmp", "tif", "tiff")
-#: Sidecar suffixes by stage.
-SIDECARS = {2: ".page_elements_v3.json", 3: ".graphic_elements_v1.json", 4: ".table_structure_v1.json", 5: ".nemotron_ocr_v1.json"}
+#: Sidecar suffixes by stage; readers take any suffix.
+SIDECARS = {2: ".page_elements_v3.json", 3: ".graphic_elements_v1.json", 4: ".table_structure_v1.json", 5: ".ocr_v1.json"}
 _FILE = "path string, modificationTime timestamp, length long"
 
 
