@@ -33,6 +33,12 @@ def letter_table() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000)
 
 
+@lru_cache(maxsize=1)
+def cased_table() -> np.ndarray:
+    """True at each letter of a script that has upper and lower case."""
+    return np.fromiter((chr(i).lower() != chr(i).upper() for i in range(0x110000)), dtype=bool, count=0x110000)
+
+
 @lru_cache(maxsize=1)
 def space_table() -> np.ndarray:
     return np.fromiter((chr(i).isspace() for i in range(0x110000)), dtype=bool, count=0x110000)

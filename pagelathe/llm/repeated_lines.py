@@ -7,8 +7,12 @@ chunk; chunks on too many pages are repeated and are cut.
 
 For whole lines, line ends close a chunk too, so equal lines always have equal chunks: a line can be repeated
 only if its chunks are. That leaves few lines, which an exact count confirms.
-Only hashes and positions are shuffled, never texts; sources are no grouping unit of any task, so one source that
-holds a third of all rows is spread like the rest.
+For lines only hashes and positions are shuffled, never texts; sources are no grouping unit of any task, so one source
+that holds a third of all rows is spread like the rest.
+
+For spans without lines every run of letters counts, so none is missed at a chunk's edge. Texts are shuffled to parts of
+bounded size: a part holds several small sources, or some pages of a large one. Parts of a source have different pages, so
+their page counts add up; only hashes of runs meet across parts.
 """
 
 from __future__ import annotations
@@ -17,21 +21,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagelathe.llm.codepoints import decode, letter_table, lower_table, slices, span_hashes
+from pagelathe.llm.codepoints import cased_table, decode, letter_table, lower_table, mix, runs, slices, span_hashes
 
 #: Letters the rolling hash looks at, and mean letters between content-defined cuts.
 WINDOW, MEAN_CHUNK = 12, 32
 #: Fixed value: the marker that some stored texts begin with.
 PREFIX = "passage: "
+#: Characters a part of the search for spans holds; sources with more are spread over several parts.
+PART = 500_000
 
 
-class Chunks:
-    """Letters of a slice of texts, cut into chunks."""
+class Letters:
+    """Letters of a slice of texts in lower case: where they stand, their text and their line."""
 
-    def __init__(self, column: pa.Array, line_edges: bool):
+    def __init__(self, column: pa.Array):
         codes, starts = decode(column)
         letters = letter_table()[codes]
         marker = np.frombuffer(PREFIX.encode("utf-32-le"), np.uint32)
@@ -46,6 +52,13 @@ class Chunks:
         np.cumsum(codes == 10, out=newlines[1:])
         self.line = newlines[self.at] - newlines[starts[self.text]]
         self.starts = starts
+
+
+class Chunks(Letters):
+    """Letters of a slice of texts, cut into chunks."""
+
+    def __init__(self, column: pa.Array, line_edges: bool):
+        super().__init__(column)
         n = len(self.at)
         edge = np.ones(n + 1, bool)
         if n:
@@ -154,40 +167,104 @@ def remove_lines(df: DataFrame, found: DataFrame, key: str, texts: str) -> DataF
     )
 
 
-def _chunk_spans(fewest: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                c = Chunks(part.column(2), False)
-                sized = c.end - c.begin >= fewest
-                begin, end = c.begin[sized], c.end[sized]
-                text = c.text[begin]
-                row = pa.array(text)
-                origin = c.starts[text]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(row), part.column(3).take(row), part.column(4).take(row), pa.array(c.hash[sized]), pa.array(c.at[begin] - origin), pa.array(c.at[end - 1] + 1 - origin)],
-                    names=["source", "key", "text_no", "chunk", "char_begin", "char_end"],
-                )
-
-    return run
-
-
-def repeated_spans(df: DataFrame, key: str, source: str, page: str, texts: str, pages: int = 6, fewest: int = 16) -> DataFrame:
-    """Character spans of repeated chunks, without regard to lines: ``key``, text_no, char_begin, char_end.
-
-    Adjacent repeated chunks form one span. Chunks of fewer than ``fewest`` letters are too common to cut.
+def _windows(part: pa.Table, size: int) -> tuple[Letters, np.ndarray, np.ndarray, np.ndarray]:
+    """Letters of a part, and of every run of ``size`` letters of a text: its begin, the hash of source and run, and its page."""
+    letters = Letters(pa.concat_arrays(part["text"].chunks))
+    begin = np.arange(max(0, len(letters.at) - size + 1))
+    begin = begin[letters.text[begin] == letters.text[begin + size - 1]]
+    row = letters.text[begin]
+    source = mix(part["source"].to_numpy().view(np.uint64))
+    return letters, begin, mix(span_hashes(letters.codes, begin, begin + size) ^ source[row]), part["page"].to_numpy()[row]
+
+
+def _page_counts(hashes: np.ndarray, page: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes that occur ``least`` times, in order, and the distinct pages of each."""
+    found, counts = np.unique(hashes, return_counts=True)
+    single = found[counts == 1] if least <= 1 else found[:0]
+    found = found[counts >= max(2, least)]
+    several = _member(hashes, found)
+    hashes, page = hashes[several], page[several]
+    order = np.lexsort((page, hashes))
+    hashes, page = hashes[order], page[order]
+    first = np.ones(len(hashes), bool)
+    first[1:] = (hashes[1:] != hashes[:-1]) | (page[1:] != page[:-1])
+    found, counts = np.unique(hashes[first], return_counts=True)
+    found, counts = np.append(found, single), np.append(counts, np.ones(len(single), np.int64))
+    order = np.argsort(found)
+    return found[order], counts[order]
+
+
+def _member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
+_SPAN = "key long, text_no int, char_begin long, char_end long"
+
+
+def _spans(part: pa.Table, letters: Letters, begin: np.ndarray, size: int) -> pa.Table:
+    """Spans of the letters in runs that start at ``begin``, less the words at their edges that are held in part."""
+    n = len(letters.at)
+    step = np.zeros(n + 1, np.int64)
+    step[begin] += 1
+    step[begin + size] -= 1
+    new = np.ones(n + 1, bool)
+    new[1:n] = letters.text[1:] != letters.text[:-1]
+    first, last = runs(np.cumsum(step[:n]) > 0, np.flatnonzero(new[:n]))
+    apart = new.copy()
+    apart[1:n] |= letters.at[1:] != letters.at[:-1] + 1
+    # Scripts without case may be written without spaces: there an edge may be anywhere.
+    free = ~cased_table()[letters.codes]
+    heads, tails = np.flatnonzero(apart[:n] | free), np.flatnonzero(apart[1:] | free)
+    if len(first):
+        first = np.append(heads, n)[np.searchsorted(heads, first)]
+        last = np.append(-1, tails)[np.searchsorted(tails, last)] + 1
+        whole = last - first >= size
+        first, last = first[whole], last[whole]
+    text = letters.text[first]
+    row = pa.array(text)
+    return pa.table({
+        "key": part["key"].take(row), "text_no": part["text_no"].take(row), "char_begin": pa.array(letters.at[first] - letters.starts[text]), "char_end": pa.array(letters.at[last - 1] + 1 - letters.starts[text])
+    })
+
+
+def repeated_spans(df: DataFrame, key: str, source: str, page: str, texts: str, pages: int = 6, fewest: int = 16, part: int = PART) -> DataFrame:
+    """Character spans of repeated passages, without regard to lines: ``key``, text_no, char_begin, char_end.
+
+    Every run of ``fewest`` letters that stands on at least ``pages`` distinct pages of its source is repeated; letters
+    of such runs that follow each other in a text form one span. A word that a span's edge would cut is left out of it
+    (in scripts with case), and a span must keep ``fewest`` letters. What counts as a letter, and which texts have
+    none, is as in ``repeated_lines``. All rows of one page are handled together.
     """
-    chunks = repeated_chunks(df, key, source, page, texts, pages, fewest)
-    spans = _texts(df, key, source, page, texts).mapInArrow(_chunk_spans(fewest), "source long, key long, text_no int, chunk long, char_begin long, char_end long")
-    hit = spans.join(chunks.select("source", "chunk"), ["source", "chunk"], "left_semi")
-    # Spans of one text, merged where they touch (a gap of at most two characters is spacing).
-    ordered = F.array_sort(F.collect_list(F.struct("char_begin", "char_end")))
-    merged = F.aggregate(
-        ordered,
-        F.expr("cast(array() as array<struct<char_begin:bigint,char_end:bigint>>)"),
-        lambda acc, s: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)["char_end"] + 2 >= s["char_begin"]),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["char_begin"].alias("char_begin"), F.greatest(F.element_at(acc, -1)["char_end"], s["char_end"]).alias("char_end")))),
-        ).otherwise(F.concat(acc, F.array(s))),
-    )
-    return hit.groupBy("key", "text_no").agg(merged.alias("s")).select(F.col("key").alias(key), "text_no", F.explode("s").alias("s")).select(key, "text_no", "s.char_begin", "s.char_end")
+    each = _texts(df, key, source, page, texts)
+    sizes = each.groupBy("source").agg(F.sum(F.length("text")).alias("size"))
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    # At most total / part sources are large.
+    large = sizes.where(F.col("size") > part).select("source", F.ceil(F.col("size") / part).alias("parts"))
+    placed = each.join(F.broadcast(large), "source", "left")
+
+    def local(t: pa.Table) -> pa.Table:
+        letters, begin, hashes, on = _windows(t, fewest)
+        found, counts = _page_counts(hashes, on, pages)
+        return _spans(t, letters, begin[_member(hashes, found[counts >= pages])], fewest)
+
+    def count(t: pa.Table) -> pa.Table:
+        _, _, hashes, on = _windows(t, fewest)
+        found, counts = _page_counts(hashes, on, 1)
+        return pa.table({"part": pa.repeat(t["part"][0], len(found)), "run": pa.array(found.view(np.int64)), "pages": pa.array(counts.astype(np.int32))})
+
+    def mark(t: pa.Table, known: pa.Table) -> pa.Table:
+        if not t.num_rows or not known.num_rows:
+            return pa.table({f: pa.array([], pa.int32() if f == "text_no" else pa.int64()) for f in ("key", "text_no", "char_begin", "char_end")})
+        letters, begin, hashes, _ = _windows(t, fewest)
+        return _spans(t, letters, begin[_member(hashes, np.sort(known["run"].to_numpy().view(np.uint64)))], fewest)
+
+    small = placed.where("parts IS NULL").withColumn("part", F.pmod(F.col("source"), F.lit(max(1, total // part))))
+    found = small.groupBy("part").applyInArrow(local, _SPAN)
+    spread = placed.where("parts IS NOT NULL").withColumn("part", F.xxhash64("source", F.pmod(F.xxhash64("page"), F.col("parts"))))
+    counted = spread.groupBy("part").applyInArrow(count, "part long, run long, pages int")
+    # A run has one row in each part at most.
+    known = counted.withColumn("n", F.sum("pages").over(Window.partitionBy("run"))).where(F.col("n") >= pages).select("part", "run")
+    found = found.unionByName(spread.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(mark, _SPAN))
+    return found.select(F.col("key").alias(key), "text_no", "char_begin", "char_end").distinct()

@@ -113,6 +113,50 @@ def test_reflowed_passages_are_found_without_lines(spark):
         assert held in notice and len(held) >= 16
 
 
+def brute_spans(rows, pages, fewest):
+    seen, out = {}, set()
+    texts = [(key, pdf, page, n, t) for key, pdf, page, ts in rows if pdf is not None and page is not None for n, t in enumerate(ts or []) if t]
+    letters = lambda t: [i for i, c in enumerate(t) if c.isalpha() and not (i < 9 and t.startswith("passage: "))]
+    windows = lambda t: [("".join(t[i] for i in at).lower(), at) for k in [letters(t)] for at in (k[i : i + fewest] for i in range(len(k) - fewest + 1))]
+    for _, pdf, page, _, t in texts:
+        for w, _ in windows(t):
+            seen.setdefault((pdf, w), set()).add(page)
+    for key, pdf, _, n, t in texts:
+        held = {i for w, at in windows(t) if len(seen[pdf, w]) >= pages for i in at}
+        cased = lambda i: t[i].lower() != t[i].upper()
+        run = []
+        for i in [*letters(t), None]:
+            if i in held:
+                run.append(i)
+                continue
+            while run and cased(run[0]) and run[0] and t[run[0] - 1].isalpha():
+                run.pop(0)
+            while run and cased(run[-1]) and t[run[-1] + 1 : run[-1] + 2].isalpha():
+                run.pop()
+            if len(run) >= fewest:
+                out.add((key, n, run[0], run[-1] + 1))
+            run = []
+    return out
+
+
+@pytest.mark.parametrize("part", [2_000, 10_000_000])
+def test_repeated_spans_against_brute_force(spark, part):
+    rows = [r for r in pages_with_boilerplate() if r[0] != 904]
+    rows += [(1000 + k, "short", k, [f"{WORDS[k]} {k} sixteen letters!! {WORDS[-k]}", f"{k}这一行字在每一页上都出现而且没有空格也不会断开{k}", "passage: a line of the marker's text"]) for k in range(7)]
+    df = spark.createDataFrame(rows, DDL)
+    got = {tuple(r) for r in repeated_lines.repeated_spans(df, "rec_id", "pdf_path", "page_index", "texts", part=part).collect()}
+    assert got == brute_spans(rows, 6, 16) and len(got) > 300
+    # Every repeated line lies in spans, letter for letter.
+    lines = {(r.rec_id, r.text_no, r.line_no) for r in repeated_lines.repeated_lines(df, "rec_id", "pdf_path", "page_index", "texts").collect()}
+    texts = {(r[0], n): t for r in rows for n, t in enumerate(r[3] or [])}
+    for key, n, i in lines:
+        t = texts[key, n]
+        begin = sum(len(x) + 1 for x in t.split("\n")[:i])
+        at = [begin + j for j, c in enumerate(t.split("\n")[i]) if c.isalpha() and not (begin + j < 9 and t.startswith("passage: "))]
+        assert any(k == key and m == n and b <= at[0] and at[-1] < e for k, m, b, e in got)
+    assert repeated_lines.repeated_spans(df.limit(0), "rec_id", "pdf_path", "page_index", "texts").count() == 0
+
+
 # --- splitting
 
 @settings(max_examples=80, deadline=None)
