@@ -345,6 +345,17 @@ def test_scan_defects(spark):
     assert scan_noise.scan_defects(df.limit(0), lex).count() == 0
 
 
+def test_all_running_headers_of_a_pdf_are_found(spark):
+    heads = [f"Annual Report {x} Division" for x in ("Procurement", "Human Resources", "Sales and Marketing", "Legal", "Infrastructure of the North")] + ["Atlas", "Ix"]
+    rng = random.Random(3)
+    pages = [(n, "p", n, f"{heads[n % 7]}\n{text_of(rng, 6)}\n{text_of(rng, 6)}") for n in range(21)]
+    # Damaged in the midst, of a header that is not among the block's first two.
+    pages += [(50, "p", 50, "Annual Report Infrastructvre of the North Division\nthe stone\nthe warm field"), (51, "q", 1, "Atlas\nthe stone and\na warm field")]
+    pages += [(60 + n, "p", 60 + n, f"pond.\n{text_of(rng, 6)}\n{text_of(rng, 6)}") for n in range(2)]
+    found = scan_noise.scan_defects(*scan(spark, pages)).where("defect = 'furniture'").select("page_id", "line_no").collect()
+    assert {tuple(r) for r in found} == {(n, 0) for n in [*range(21), 50]}
+
+
 def test_paragraphs_are_continuous(spark):
     pages = [
         (1, "p", 0, "the gr0up un-\nder the stone-\ndock and\n\nthe capi-\nPage 1"), (2, "p", 1, "Page 2\ntal and the\nsma1l image"), (3, "p", 2, "under a\nPage 3"), (4, "p", 3, "warm stone.\n\nA number"),
