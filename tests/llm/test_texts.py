@@ -319,6 +319,7 @@ def test_glyph_repairs():
     assert fixed("gr0up") == ["group"] and fixed("joiirnal") == ["journal"] and fixed("c@pital") == ["capital"] and fixed("warrn") == ["warm"]
     assert fixed("c@pi!al") == [] and fixed("the") == [] and fixed("zzz") == [] and fixed("sma1l") == ["small"] and fixed("ﬁeld") == ["field"]
     assert fixed("num6cr") == ["number"]
+    assert scan_noise.glyph_repairs("artide", {"article"}) == ["article"] and scan_noise.glyph_repairs("cyde", {"cycle"}) == ["cycle"]
 
 
 def test_page_numbers():
