@@ -69,15 +69,15 @@ def dimension_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ocr_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T6 over results of several shapes made from documents' titles."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.regexp_replace(F.left("text", F.lit(40)), r'["\\\n\r\t]', " "), F.lit("")).alias("t"))
-    quoted = F.concat(F.lit('"'), F.col("t"), F.lit('"'))
+    """T6 over results of several shapes made from documents' whole texts."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
+    held = lambda name: F.col("t").alias(name)
     shape = F.pmod("doc_id", F.lit(5))
     raw = (
-        F.when(shape == 0, F.concat(F.lit('{"text": '), quoted, F.lit("}")))
-        .when(shape == 1, F.concat(F.lit('{"text": "", "ocr_text": '), quoted, F.lit("}")))
-        .when(shape == 2, F.concat(F.lit('[{"text": '), quoted, F.lit('}, {"text": "b"}]')))
-        .when(shape == 3, F.concat(F.lit('{"raw": {"generated_text": '), quoted, F.lit("}}")))
+        F.when(shape == 0, F.to_json(F.struct(held("text"))))
+        .when(shape == 1, F.to_json(F.struct(F.lit("").alias("text"), held("ocr_text"))))
+        .when(shape == 2, F.to_json(F.array(F.struct(held("text")), F.struct(F.lit("b").alias("text")))))
+        .when(shape == 3, F.to_json(F.struct(F.struct(held("generated_text")).alias("raw"))))
         .otherwise(F.concat(F.lit("  "), F.col("t"), F.lit("  ")))
     )
     return d.select("doc_id", text.ocr_text(raw).alias("ocr_text"))

@@ -1,7 +1,10 @@
 """Text and path functions against values worked out by hand."""
 
+import json
+
 import pytest
 from pagelathe.functions import labels, text, vectors
+from pagelathe.plans import scalars
 from pyspark.sql import functions as F
 
 
@@ -78,3 +81,19 @@ def test_preview(spark):
     assert values(spark, [("a", 1), (" ", 2), (None, None)], "n string, l int", text.label_key("n", "l")) == ["a", "label_2", "label_None"]
     assert values(spark, [("/a/7_x.pdf", "3"), ("/a/7.pdf", None)], "s string, m string", text.retrieved_key("s", "m")) == ["7_3", None]
     assert values(spark, [("/a/7_x.pdf",)], "s string", text.retrieved_key("s", F.lit("3"), True)) == ["7_x_3"]
+
+
+def test_ocr_text_of_whole_documents(spark, tmp_path):
+    long = 'He said "no\\yes" — twice.\r\n\tà la {x} [y] \u2028 \u0001 end ' * 2_000
+    texts = [long, "short", None, " \n ", "a" * 41, '"', "x" * 70_000]
+    rows = [(5 * n + shape, t) for n, t in enumerate(texts) for shape in range(5)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.ocr_text for r in scalars.ocr_texts(spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows)
+    for doc, t in rows:
+        key = {0: "text", 1: "ocr_text", 2: "text", 3: "generated_text"}.get(doc % 5)
+        t, clean = t or "", (t or "").strip()
+        if not clean and key:
+            held = {"text": "", key: t} if doc % 5 == 1 else {key: t}
+            clean = json.dumps(held, ensure_ascii=False, separators=(",", ":"))
+        assert got[doc] == (clean + " b" if doc % 5 == 2 else clean), doc
