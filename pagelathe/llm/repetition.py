@@ -13,6 +13,7 @@ Decoding is vectorised over documents: step t handles the t-th unit of every doc
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -168,23 +169,42 @@ class LineField:
         return self
 
 
+def _labels(u) -> np.ndarray:  # noqa: ANN001
+    return (2 * u.repeated >= u.words).astype(np.int64)
+
+
+def _with_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents with a unit that is repeated by the exact definition."""
+    for batch in batches:
+        for part in slices(batch, "text"):
+            u = units_of(*decode(part.column(1)))
+            yield part.filter(pa.array(np.bincount(u.owner, _labels(u), part.num_rows) > 0))
+
+
 def train_field(df: DataFrame, key: str, text: str, sample: int = SAMPLE_DOCUMENTS) -> LineField:
     """Fit the field on about ``sample`` documents drawn by hash; their units are labelled by the exact definition.
 
-    The draw is a range of hashes, so no task sends more rows than belong to the sample.
+    The draw is a range of hashes, so no task sends more rows than belong to the sample. If it holds no repeated unit,
+    half as many documents that do are added, those of smallest hash; if there are none at all, a warning says so.
     """
     count = df.count()
     upto = min((1 << 63) - 1, -(1 << 63) + int(min(1.0, sample / max(1, count)) * (1 << 64)))
-    drawn = df.where(F.col(key).isNotNull() & (F.xxhash64(key) <= F.lit(upto)) & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("text"))
-    texts = pa.array([r.text for r in sorted(drawn.limit(2 * sample).collect(), key=lambda r: (str(r.k), r.text))], pa.string())
-    u = units_of(*decode(texts))
+    full = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("text"))
+    rows = full.where(F.xxhash64("k") <= F.lit(upto)).limit(2 * sample).collect()
+    units = lambda: units_of(*decode(pa.array([r.text for r in sorted(rows, key=lambda r: (str(r.k), r.text))], pa.string())))
+    u = units()
+    if not _labels(u).any():
+        rows += full.mapInArrow(_with_repeats, full.schema).orderBy(F.xxhash64("k"), "text").limit(max(1, sample // 2)).collect()
+        u = units()
+        if not _labels(u).any():
+            warnings.warn("no document has a repeated unit; the field takes all units for content", stacklevel=2)
     # Chains are fitted in stretches of FIT_UNITS units, so one long document does not set the number of steps.
     new = np.ones(len(u.owner), bool)
     new[1:] = u.owner[1:] != u.owner[:-1]
     first = np.flatnonzero(new)
     within = np.arange(len(new)) - np.repeat(first, np.diff(np.append(first, len(new))))
     chain = np.cumsum(new | (within % FIT_UNITS == 0))
-    return LineField().fit(chain, u.features, (2 * u.repeated >= u.words).astype(np.int64))
+    return LineField().fit(chain, u.features, _labels(u))
 
 
 def _label(field: LineField, retain: float):

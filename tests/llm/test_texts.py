@@ -279,6 +279,14 @@ def test_shares_are_exact_and_the_field_misses_none(spark):
     assert repetition.repetition(df.limit(0), "doc_id", "text").count() == 0
 
 
+def test_field_learns_from_few_repeating_documents(spark):
+    rng = random.Random(9)
+    docs = [(i, text_of(rng, 60)) for i in range(400)] + [(1000 + i, "\n".join([text_of(rng, 20)] * 8)) for i in range(2)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = repetition.repetition(df, "doc_id", "text", sample=10).where("repeated_share >= 0.3 AND NOT retained").collect()
+    assert {r.doc_id for r in got} == {1000, 1001}
+
+
 def test_field_on_held_out_documents():
     u = repetition.units_of(*decode(pa.array([t for _, t in repeating_documents(300, 7)])))
     labels = (2 * u.repeated >= u.words).astype(np.int64)
