@@ -321,13 +321,86 @@ def scan(spark, pages):
     return df, lex
 
 
-def test_glyph_repairs():
-    lex = set(LEXICON)
-    fixed = lambda w: scan_noise.glyph_repairs(w, lex)
+def reader(words, edits, **kw):
+    return scan_noise.Reader(scan_noise.Lexicon(set(words)), {e: 2.0 for e in edits}, **kw)
+
+
+def test_repairs_by_learned_edits():
+    edits = [("0", "o"), ("ii", "u"), ("@", "a"), ("rn", "m"), ("1", "l"), ("ﬁ", "fi"), ("c", "e"), ("6", "b"), ("5", "s"), ("d", "cl")]
+    r = reader([*LEXICON, "boards", "article", "cycle"], edits)
+    fixed = lambda w: [x[0] for x in r.repairs(w)]
     assert fixed("gr0up") == ["group"] and fixed("joiirnal") == ["journal"] and fixed("c@pital") == ["capital"] and fixed("warrn") == ["warm"]
-    assert fixed("c@pi!al") == [] and fixed("the") == [] and fixed("zzz") == [] and fixed("sma1l") == ["small"] and fixed("ﬁeld") == ["field"]
-    assert fixed("num6cr") == ["number"]
-    assert scan_noise.glyph_repairs("artide", {"article"}) == ["article"] and scan_noise.glyph_repairs("cyde", {"cycle"}) == ["cycle"]
+    assert fixed("zzz") == [] and fixed("sma1l") == ["small"] and fixed("ﬁeld") == ["field"] and fixed("num6cr") == ["number"]
+    # Any number of wrong glyphs.
+    assert fixed("60@rd5") == ["boards"] and fixed("artide") == ["article"] and fixed("cyde") == ["cycle"]
+    assert reader(LEXICON, []).repairs("gr0up") == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="abcé0", min_size=1, max_size=6), max_size=8), st.lists(st.text(alphabet="abcé", min_size=1, max_size=6), min_size=1, max_size=8))
+def test_links_against_brute_force(words, known):
+    words = sorted(set(words))
+    want = set()
+    for w in words:
+        for v in set(known):
+            for m, t in ((1, 1), (2, 1), (1, 2)):
+                for i in range(len(w) - m + 1):
+                    x, y = w[i : i + m], v[i : i + t]
+                    if len(y) == t and w[:i] == v[:i] and w[i + m :] == v[i + t :] and x != y and (m == t or (x[0] != y[0] and x[-1] != y[-1])):
+                        want.add((w, v, x, y))
+    assert set(scan_noise.glyph_links(words, scan_noise.Lexicon(set(known)))) == want
+
+
+def test_contexts_choose_between_repairs():
+    lexicon = scan_noise.Lexicon({"hall", "hill", "ball"})
+    basis = np.eye(2 * scan_noise.BUCKETS, 2, dtype=np.float32)
+    vectors = {lexicon.number("hall"): np.array([2, -2], np.float32), lexicon.number("hill"): np.array([-2, 2], np.float32)}
+    r = scan_noise.Reader(lexicon, {("1", "a"): 1.0, ("1", "i"): 1.0}, vectors, basis, 1.0)
+    assert r.correct("h1ll", [0]) == "hall" and r.correct("h1ll", [1]) == "hill" and r.correct("h1ll", []) in ("hall", "hill")
+    # A word of its own: no repair fits the words around it.
+    assert scan_noise.Reader(lexicon, {("1", "a"): 1.0}, vectors, basis, 1.0).correct("h1ll", [1]) is None
+
+
+def test_vectors_decide_which_words_are_misread(spark):
+    """The name bill is one learned edit from hill: only among the words that hill stands with is it a misreading."""
+    rng = random.Random(4)
+    near = ["near the {} of green stone", "under the {} of green grass", "near a {} of old stone"]
+    said = ["mister {} said yesterday that", "mister {} spoke yesterday that", "young {} said they that"]
+    pages, listed = [], set()
+    for n in range(240):
+        lines = [rng.choice(near).format("hill") for _ in range(3)] + [rng.choice(said).format(rng.choice(["tom", "ann"])) for _ in range(3)]
+        rng.shuffle(lines)
+        lines.insert(3, rng.choice(said if n % 2 else near).format("bill"))
+        if n % 2 == 0:
+            listed.add((n, 3, "misread"))
+        if n % 12 == 0:
+            lines[5] = "near tbe hill of wbite stone"
+            listed.add((n, 5, "misread"))
+        pages.append((n, f"p{n}", 0, "\n".join(lines)))
+    words = sorted({w for t in near + said for w in t.split() if w != "{}"} | {"hill", "tom", "ann", "white"})
+    df = spark.createDataFrame(pages, "page_id long, pdf_path string, page_number int, text string")
+    lex = spark.createDataFrame([(w,) for w in words], "word string")
+    assert {tuple(r) for r in scan_noise.scan_defects(df, lex).where("defect = 'misread'").collect()} == listed
+    assert {tuple(r)[:2] for r in scan_noise.scan_defects(df, lex, use_vectors=False).where("defect = 'misread'").collect()} == {x[:2] for x in listed} | {(n, 3) for n in range(240)}
+
+
+def test_confusions_of_another_scanner_are_learned(spark):
+    """Confusions that no table lists: q for g, and 3 for s."""
+    words = ["garden", "bridge", "gallery", "glass", "stone", "house", "sister", "rising"]
+    wrong = lambda w, a, b: w.replace(a, b, 1)
+    pages = [(n, f"p{n}", 0, " ".join(rng.choice(words) for _ in range(9)) + "\nthe " + (wrong(words[n % 8], "g", "q") if n % 3 else wrong(words[n % 8], "s", "3"))) for n, rng in ((n, random.Random(n)) for n in range(96))]
+    df = spark.createDataFrame(pages, "page_id long, pdf_path string, page_number int, text string")
+    lex = spark.createDataFrame([(w,) for w in [*words, "the"]], "word string")
+    want = {n for n, _, _, t in pages if t.split("\n")[1].split()[1] not in words}
+    got = scan_noise.scan_defects(df, lex).where("defect = 'misread' AND line_no = 1").collect()
+    assert {r.page_id for r in got} == want and len(want) > 40
+
+
+def test_deep_headers_are_furniture(spark):
+    heads = "Survey of the Northern Rivers\nSection on Dams\nThird Edition"
+    pages = [(n, "p", n, f"{heads}\n{text_of(random.Random(n), 6)}\n{text_of(random.Random(n + 50), 6)}\nthe stone\n") for n in range(6)]
+    found = scan_noise.scan_defects(*scan(spark, pages)).where("defect = 'furniture'").collect()
+    assert {(r.page_id, r.line_no) for r in found} == {(n, i) for n in range(6) for i in (0, 1, 2, 5)}
 
 
 def test_page_numbers():
