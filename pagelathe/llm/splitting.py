@@ -1,7 +1,7 @@
 """Splitting oversized texts at natural boundaries.
 
-Recursive separator hierarchy: section, paragraph, sentence, word, character. A piece is filled greedily up
-to the limit and cut at the strongest boundary in reach; the next piece starts a fixed overlap before the cut.
+Recursive separator hierarchy: section, paragraph, sentence, word, character. Whole sections are packed greedily up to the
+limit; only a section that no piece can hold is split into paragraphs, and so on down. The next piece starts a fixed overlap before the cut.
 Pieces are described by code-point positions, so joining them without their overlaps gives back the text.
 """
 
@@ -32,26 +32,39 @@ def cut_points(text: str) -> list[np.ndarray]:
 
 
 def split_spans(text: str, limit: int, overlap: int) -> list[tuple[int, int, str]]:
-    """Begin, end and boundary of each piece of ``text``; a text within the limit is one piece."""
+    """Begin, end and boundary of each piece of ``text``; a text within the limit is one piece.
+
+    Units are taken in order: a unit that fits is added whole, one that fits a piece of its own ends the present piece before it, and one that
+    fits none is split at the next level, its parts taken likewise.
+    """
     size = len(text)
     if size <= limit:
         return [(0, size, "end")] if size else []
     points = cut_points(text)
     spans: list[tuple[int, int, str]] = []
-    begin, new = 0, 0  # new: where the text that no piece holds yet begins
+    begin = end = 0
+    boundary = "end"
+    # Units to come, next one last: begin, end, level it was split at, and the boundary after it.
+    units = [(0, size, -1, "end")]
     while size - begin > limit:
-        reach, cut, level = begin + limit, 0, "character"
-        for (name, _), at in zip(_COMPILED, points):
-            k = int(np.searchsorted(at, reach, side="right"))
-            # The overlap must fit before the cut, and a strong boundary may not leave the piece half empty.
-            floor = max(new, begin + overlap, begin + (limit // 2 if name != "word" else 0))
-            if k and at[k - 1] > floor:
-                cut, level = int(at[k - 1]), name
-                break
-        if not cut:
-            cut = reach
-        spans.append((begin, cut, level))
-        begin, new = cut - overlap, cut
+        first, last, level, after = units.pop()
+        if last - begin <= limit:
+            end, boundary = last, after
+        elif last - first > limit - overlap and level + 1 < len(points):
+            at = points[level + 1]
+            inner = at[np.searchsorted(at, first, "right") : np.searchsorted(at, last, "left")].tolist()
+            edges = [first, *inner, last]
+            parts = [(x, y, level + 1, SEPARATORS[level + 1][0]) for x, y in zip(edges, edges[1:])]
+            parts[-1] = (*parts[-1][:3], after)
+            units += reversed(parts)
+        else:
+            units.append((first, last, level, after))
+            if end <= begin + overlap:
+                # A run without any boundary: cut where the piece is full.
+                end, boundary = begin + limit, "character"
+                units[-1] = (end, last, level, after)
+            spans.append((begin, end, boundary))
+            begin = end - overlap
     spans.append((begin, size, "end"))
     return spans
 
