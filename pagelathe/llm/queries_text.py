@@ -77,8 +77,8 @@ def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents the line field does not retain, confirmed by the exact share of repeated words."""
-    return p10_shares(spark, sf_dir).where("NOT retained AND repeated_share >= 0.3").select("doc_id").distinct()
+    """Documents of which the line field leaves at most 70 % as content."""
+    return p10_shares(spark, sf_dir).where("NOT retained").select("doc_id").distinct()
 
 
 QUERIES = {"p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p3_found": p3_found, "p3_cleaned": p3_cleaned, "p3_spans": p3_spans, "p7_found": p7_found, "p7_pieces": p7_pieces, "p8_found": p8_found, "p8_bins": p8_bins, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_shares": p10_shares}

@@ -3,8 +3,8 @@
 A document is cut into units: lines, and runs of 16 words within long lines. Each unit has a few features that say how
 much of it stood earlier in the same document; a two-state chain (content, repeated) is decoded by Viterbi, so
 an isolated echo inside content stays content and a short new line inside a repeated block stays
-repeated. The share of words outside repeated units is the document's content share, which decides
-retention; documents below it get the exact share of repeated words as well.
+repeated. The share of words outside repeated units is the document's content share, which alone decides
+retention. The exact share of repeated words is reported beside it.
 
 The field's weights are learned here, by gradient ascent on the likelihood of a bounded sample of documents
 whose units are labelled by the exact definition (a run of 8 words that stood earlier).
@@ -19,19 +19,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagelathe.llm.codepoints import decode, mix, slices, words
 
 #: Words in a run that counts as repeated, and in the shorter run that the field's features look at.
-RUN, FEATURE_RUN = 8, 4
+RUN, FEATURE_RUN = 8, 6
 #: Words of a unit, at most.
-UNIT_WORDS = 16
+UNIT_WORDS = 8
 #: Units of a chain the field is fitted on, at most (decoding takes whole documents).
 FIT_UNITS = 32
-#: Labelled documents the field is fitted on, at most.
-SAMPLE_DOCUMENTS = 600
+#: Labelled documents the field is fitted on, at most, and units of each of them.
+SAMPLE_DOCUMENTS, DRAWN_UNITS = 600, 256
 
 
 def repeated_words(hashes: np.ndarray, owner: np.ndarray, run: int) -> np.ndarray:
@@ -173,38 +174,61 @@ def _labels(u) -> np.ndarray:  # noqa: ANN001
     return (2 * u.repeated >= u.words).astype(np.int64)
 
 
-def _with_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with a unit that is repeated by the exact definition."""
-    for batch in batches:
-        for part in slices(batch, "text"):
-            u = units_of(*decode(part.column(1)))
-            yield part.filter(pa.array(np.bincount(u.owner, _labels(u), part.num_rows) > 0))
+_DRAWN = "k string, owner long, features array<double>, label int"
+
+
+def _drawn_units(repeating: bool, most: int):
+    """Units of documents with their labels, the first ``most`` of each document; with ``repeating``, only documents that have a repeated one among these."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                u = units_of(*decode(part.column(1)))
+                labels = _labels(u)
+                new = np.ones(len(u.owner), bool)
+                new[1:] = u.owner[1:] != u.owner[:-1]
+                first = np.flatnonzero(new)
+                keep = np.arange(len(new)) - np.repeat(first, np.diff(np.append(first, len(new)))) < most
+                if repeating:
+                    keep &= (np.bincount(u.owner[keep], labels[keep], part.num_rows) > 0)[u.owner]
+                owner = u.owner[keep]
+                features = pa.ListArray.from_arrays(pa.array(np.arange(len(owner) + 1, dtype=np.int32) * u.features.shape[1]), pa.array(u.features[keep].reshape(-1)))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner)).cast(pa.string()), pa.array(owner.astype(np.int64)), features, pa.array(labels[keep].astype(np.int32))], names=["k", "owner", "features", "label"])
+
+    return run
 
 
 def train_field(df: DataFrame, key: str, text: str, sample: int = SAMPLE_DOCUMENTS) -> LineField:
     """Fit the field on about ``sample`` documents drawn by hash; their units are labelled by the exact definition.
 
-    The draw is a range of hashes, so no task sends more rows than belong to the sample. If it holds no repeated unit,
-    half as many documents that do are added, those of smallest hash; if there are none at all, a warning says so.
+    What is collected is the features and labels of at most DRAWN_UNITS units of each drawn document, never texts. The draw is a range of hashes, so
+    no task sends more rows than belong to the sample. If it holds no repeated unit, half as many documents that do are added, those of
+    smallest hash; if there are none at all, a warning says so.
     """
     count = df.count()
     upto = min((1 << 63) - 1, -(1 << 63) + int(min(1.0, sample / max(1, count)) * (1 << 64)))
-    full = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("text"))
-    rows = full.where(F.xxhash64("k") <= F.lit(upto)).limit(2 * sample).collect()
-    units = lambda: units_of(*decode(pa.array([r.text for r in sorted(rows, key=lambda r: (str(r.k), r.text))], pa.string())))
-    u = units()
-    if not _labels(u).any():
-        rows += full.mapInArrow(_with_repeats, full.schema).orderBy(F.xxhash64("k"), "text").limit(max(1, sample // 2)).collect()
-        u = units()
-        if not _labels(u).any():
+    full = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("string").alias("k"), F.col(text).alias("text"))
+    hashed = F.xxhash64("k", "text")  # rows that share a key are drawn each for itself
+    drawn = full.where(hashed <= F.lit(upto)).limit(2 * sample).mapInArrow(_drawn_units(False, DRAWN_UNITS), _DRAWN).toArrow()
+    if not pc.any(pc.greater(drawn["label"], 0)).as_py():
+        some = full.mapInArrow(_drawn_units(True, DRAWN_UNITS), _DRAWN).groupBy("k").agg(F.collect_list(F.struct("owner", "features", "label")).alias("u")).orderBy(F.xxhash64("k"), "k").limit(max(1, sample // 2))
+        drawn = pa.concat_tables([drawn, some.selectExpr("k", "inline(u)").toArrow().cast(drawn.schema)])
+        if not pc.any(pc.greater(drawn["label"], 0)).as_py():
             warnings.warn("no document has a repeated unit; the field takes all units for content", stacklevel=2)
+    # Units of a document stand together and in order; documents are put in the order of their keys, so the fit does not depend on tasks.
+    keys, owners = drawn["k"].to_pylist(), drawn["owner"].to_numpy()
+    place = np.array(sorted(range(len(keys)), key=lambda i: keys[i]), np.int64)
+    features = drawn["features"].combine_chunks().flatten().to_numpy().reshape(len(keys), -1)[place] if keys else np.zeros((0, 6))
+    labels = drawn["label"].to_numpy()[place].astype(np.int64)
+    names = np.array(keys, object)[place] if keys else np.zeros(0, object)
+    owners = owners[place]
+    new = np.ones(len(place), bool)
+    new[1:] = (names[1:] != names[:-1]) | (owners[1:] != owners[:-1])
     # Chains are fitted in stretches of FIT_UNITS units, so one long document does not set the number of steps.
-    new = np.ones(len(u.owner), bool)
-    new[1:] = u.owner[1:] != u.owner[:-1]
     first = np.flatnonzero(new)
     within = np.arange(len(new)) - np.repeat(first, np.diff(np.append(first, len(new))))
     chain = np.cumsum(new | (within % FIT_UNITS == 0))
-    return LineField().fit(chain, u.features, _labels(u))
+    return LineField().fit(chain, features, labels)
 
 
 def _label(field: LineField, retain: float):
@@ -221,16 +245,16 @@ def _label(field: LineField, retain: float):
                     content_share = np.where(total > 0, content / total, 1.0)
                     share = np.where(total > 0, exact / total, 0.0)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(total.astype(np.int64)), pa.array(np.bincount(u.owner, minlength=n).astype(np.int64)), pa.array(np.bincount(u.owner, states == 1, n).astype(np.int64)), pa.array(content_share), pa.array(content_share >= retain), pa.array(share)],
+                    [part.column(0), pa.array(total.astype(np.int64)), pa.array(np.bincount(u.owner, minlength=n).astype(np.int64)), pa.array(np.bincount(u.owner, states == 1, n).astype(np.int64)), pa.array(content_share), pa.array(content_share > retain), pa.array(share)],
                     names=["owner", "words", "units", "repeated_units", "content_share", "retained", "repeated_share"],
                 )
 
     return run
 
 
-def repetition(df: DataFrame, key: str, text: str, retain: float = 0.85, sample: int = SAMPLE_DOCUMENTS, field: LineField | None = None) -> DataFrame:
+def repetition(df: DataFrame, key: str, text: str, retain: float = 0.7, sample: int = SAMPLE_DOCUMENTS, field: LineField | None = None) -> DataFrame:
     """Repetition of every document: ``key``, words, units, repeated_units, content_share (share of words in units
-    the field labels content), retained (content_share is at least ``retain``) and repeated_share (exact share of
+    the field labels content), retained (content_share is above ``retain``) and repeated_share (exact share of
     words in a run of 8 words that stood earlier in the document).
 
     One row per row of ``df``, repeated keys included. Null, empty and wordless texts have 0 words, content

@@ -177,6 +177,40 @@ def test_cuts_prefer_strong_boundaries():
     assert splitting.longest_unbreakable("aa bbb.cccc") == 4 and splitting.longest_unbreakable("") == 0
 
 
+def test_only_units_too_large_are_split():
+    """Sections that a piece can hold stay whole; one that none can hold is split by paragraphs, those by sentences, and so on."""
+    sentence = "A short sentence here. "
+    first, second = sentence * 38 + "end of it.\n\n\n\n", sentence * 64 + "end of it."
+    assert [(b, e) for b, e, _ in splitting.split_spans(first + second, 2000, 200)] == [(0, len(first)), (len(first) - 200, len(first + second))]
+    large = "\n\n".join(sentence * 30 for _ in range(5)) + "\n\n\n\n"
+    spans = splitting.split_spans(first + large + second, 2000, 200)
+    assert (len(first + large) in {e for _, e, _ in spans}) and {k for _, _, k in spans} == {"paragraph", "section", "end"}
+
+
+def walk_units(text, limit):
+    """Units by the hierarchy written plainly: what a piece of its own can hold is one unit, else it is split one level down."""
+    patterns = [re.compile(p) for _, p in splitting.SEPARATORS]
+
+    def units(a, b, level):
+        if b - a <= limit or level == len(patterns):
+            return [(a, b)]
+        ends = [m.end() for m in patterns[level].finditer(text) if a < m.end() < b]
+        return [u for x, y in zip([a, *ends], [*ends, b]) for u in units(x, y, level + 1)]
+
+    return units(0, len(text), 0)
+
+
+@settings(max_examples=120, deadline=None)
+@given(st.text(alphabet="ab .!\n", max_size=500), st.integers(12, 60))
+def test_units_that_fit_are_never_cut(text, limit):
+    overlap = limit // 4
+    spans = splitting.split_spans(text, limit, overlap)
+    cuts = {e for _, e, _ in spans[:-1]}
+    for a, b in walk_units(text, limit - overlap):
+        if b - a <= limit - overlap:
+            assert not any(a < c < b for c in cuts), (a, b, spans)
+
+
 def test_split_awkward_input(spark):
     rows = [(1, ["x" * 2001, None, "", "short", "w " * 1500]), (2, None), (3, []), (None, ["y" * 5000]), (1, ["x" * 2001])]
     df = spark.createDataFrame(rows, "rec_id long, texts array<string>").selectExpr("*", "'clash' AS piece")
@@ -287,6 +321,16 @@ def test_field_learns_from_few_repeating_documents(spark):
     assert {r.doc_id for r in got} == {1000, 1001}
 
 
+def test_the_field_alone_decides(spark):
+    docs = [(d, t) for d, t in repeating_documents() if not 0.15 < brute_share(t) < 0.45]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = {d for d, t in docs if brute_share(t) >= 0.3}
+    found = lambda **kw: {r.doc_id for r in repetition.repetition(df, "doc_id", "text", **kw).where("NOT retained").collect()}
+    assert found() == want and len(want) > 50
+    # Without its weights the field finds nothing, whatever the exact shares are.
+    assert found(field=repetition.LineField()) == set()
+
+
 def test_field_on_held_out_documents():
     u = repetition.units_of(*decode(pa.array([t for _, t in repeating_documents(300, 7)])))
     labels = (2 * u.repeated >= u.words).astype(np.int64)
