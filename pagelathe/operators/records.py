@@ -2,9 +2,10 @@
 
 One pass over the payloads: a depth-first visitor emits, for every record, region and detection it meets, a row of
 (table tag, primary key, parent key, payload). The rows are written once, partitioned by tag; each table is then
-the folder of its tag with its schema applied. Nothing is shuffled, and a payload of any size is one row's work.
+the folder of its tag with its schema applied. Nothing is shuffled, and a payload of any size and depth is one row's work: the visitor keeps its
+own stack, and a payload too deep for the standard parser is parsed by one that does so as well.
 
-Shapes the visitor reads alike: a record alone, in a list, under ``result``-like wrappers, or stored as a JSON string;
+Shapes the visitor reads alike: a record alone, in a list, under wrappers of any name, or stored as a JSON string;
 regions as list, as object by position, as a single object or as a JSON string; detections as list of objects,
 as lists in lists, as a single object, as columns (boxes, labels, scores) or as a JSON string; numbers as strings.
 """
@@ -13,7 +14,9 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Callable, Iterator
+from json.decoder import scanstring
 from typing import Any
 
 import pyarrow as pa
@@ -22,10 +25,8 @@ from pyspark.sql import functions as F
 
 from pagelathe.session import cut
 
-#: Keys under which a wrapper holds the record proper.
+#: Keys under which a wrapper holds a record that has no regions.
 WRAPPERS = ("result", "results", "data", "output", "outputs")
-#: JSON strings within JSON strings are followed this deep.
-MOST_QUOTING = 8
 _RECORD_KEYS = {"schema_version", "stage", "model", "image", "stage2_json", "timing", "regions"}
 _REGION_KEYS = {"region_index", "page_element", "detections", "boxes", "raw_preds_present"}
 _DETECTION_KEYS = {"bbox_xyxy_norm_in_region", "bbox_xyxy_norm_in_page", "bbox_xyxy_norm", "label", "label_name", "score"}
@@ -35,6 +36,8 @@ TABLES = {
     "region": "region_index int, label int, score double, bbox array<double>, raw_preds_present boolean, extra string",
     "detection": "label int, label_name string, score double, bbox_in_region array<double>, bbox_in_page array<double>, extra string",
 }
+#: A row's payload holds the fields of its table; those of other tables are null.
+_PAYLOAD = {f.split()[0]: f.split()[1] for fields in TABLES.values() for f in fields.split(", ")}
 #: Columns that locate a row of each table; those of the parent are all but the last.
 KEYS = {"record": ["owner", "record_no"], "region": ["owner", "record_no", "region_no"], "detection": ["owner", "record_no", "region_no", "det_no"]}
 
@@ -64,21 +67,103 @@ def box(value: Any) -> list[float] | None:
     return None if None in out else out
 
 
+_TOKEN = re.compile(r'\s*(?:([\[\]{}:,])|(")|(-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null|NaN|-?Infinity))')
+
+
+def _parse_deep(text: str) -> Any:
+    """JSON by a stack of open containers, for any depth."""
+    holders: list[Any] = []
+    keys: list[Any] = []
+    at, expected, root = 0, "value", None
+    while True:
+        m = _TOKEN.match(text, at)
+        if not m:
+            raise ValueError(f"no JSON at {at}")
+        mark, at = m[1], m.end()
+        if mark in ("]", "}") and expected in (("first value", "comma") if mark == "]" else ("first key", "comma")):
+            if not holders or isinstance(holders[-1], list) != (mark == "]"):
+                raise ValueError(f"no JSON at {at}")
+            holders.pop()
+            keys.pop()
+        elif mark == "," and expected == "comma" and holders:
+            expected = "key" if isinstance(holders[-1], dict) else "value"
+            continue
+        elif mark == ":" and expected == "colon":
+            expected = "value"
+            continue
+        elif m[2] and expected in ("key", "first key"):
+            keys[-1], at = scanstring(text, at, True)
+            expected = "colon"
+            continue
+        elif mark in ("[", "{") or (not mark and expected in ("value", "first value")):
+            if expected not in ("value", "first value"):
+                raise ValueError(f"no JSON at {at}")
+            if m[2]:
+                value, at = scanstring(text, at, True)
+            else:
+                value = [] if mark == "[" else {} if mark == "{" else json.loads(m[3])
+            if not holders:
+                root = value
+            elif isinstance(holders[-1], dict):
+                holders[-1][keys[-1]] = value
+            else:
+                holders[-1].append(value)
+            if mark:
+                holders.append(value)
+                keys.append(None)
+                expected = "first value" if mark == "[" else "first key"
+                continue
+        else:
+            raise ValueError(f"no JSON at {at}")
+        expected = "comma"
+        if not holders:
+            if text[at:].strip():
+                raise ValueError(f"more than one value at {at}")
+            return root
+
+
+def parse(text: str) -> Any:
+    """A JSON text's value, however deep. Raises ValueError for what is no complete JSON."""
+    try:
+        return json.loads(text)
+    except RecursionError:
+        return _parse_deep(text)
+
+
+def to_json(value: Any) -> str:
+    """JSON with sorted keys, however deep."""
+    try:
+        return json.dumps(value, ensure_ascii=False, sort_keys=True)
+    except RecursionError:
+        out: list[str] = []
+        todo: list[Any] = [("value", value)]
+        while todo:
+            kind, x = todo.pop()
+            if kind == "text" or not isinstance(x, (list, dict)):
+                out.append(x if kind == "text" else json.dumps(x, ensure_ascii=False))
+                continue
+            items = x if isinstance(x, list) else sorted(x.items())
+            todo.append(("text", "]" if isinstance(x, list) else "}"))
+            for i in range(len(items) - 1, -1, -1):
+                todo.append(("value", items[i] if isinstance(x, list) else items[i][1]))
+                todo.append(("text", (", " if i else "") + ("" if isinstance(x, list) else json.dumps(items[i][0], ensure_ascii=False) + ": ")))
+            out.append("[" if isinstance(x, list) else "{")
+        return "".join(out)
+
+
 def unquote(value: Any) -> Any:
-    """What a JSON string holds if it holds an object or a list; anything else as it is."""
-    for _ in range(MOST_QUOTING):
-        if not isinstance(value, str) or value.lstrip()[:1] not in ("{", "[", '"'):
-            return value
+    """What a JSON string holds if it holds an object or a list, through any number of quotings; anything else as it is."""
+    while isinstance(value, str) and value.lstrip()[:1] in ("{", "[", '"'):
         try:
-            value = json.loads(value)
-        except (ValueError, RecursionError):
+            value = parse(value)
+        except ValueError:
             return value
     return value
 
 
 def _rest(value: dict, known: set[str]) -> str | None:
     extra = {k: v for k, v in value.items() if k not in known}
-    return json.dumps(extra, ensure_ascii=False, sort_keys=True) if extra else None
+    return to_json(extra) if extra else None
 
 
 class Visitor:
@@ -89,17 +174,32 @@ class Visitor:
         self.records = 0
 
     def payload(self, value: Any) -> None:
-        value = unquote(value)
-        if isinstance(value, list):
-            for item in value:
-                self.payload(item)
-        elif isinstance(value, dict):
-            if "regions" not in value:
-                inner = next((unquote(value[k]) for k in WRAPPERS if isinstance(unquote(value.get(k)), (dict, list))), None)
-                if inner is not None:
-                    self.payload(inner)
-                    return
-            self.record(value)
+        todo = [value]
+        while todo:
+            value = unquote(todo.pop())
+            if isinstance(value, list):
+                todo += reversed(value)
+            elif isinstance(value, dict):
+                inner = None if "regions" in value else self.wrapped(value)
+                if inner is None:
+                    self.record(value)
+                else:
+                    todo += reversed(inner)
+
+    @staticmethod
+    def wrapped(value: dict) -> list | None:
+        """The records an object without regions wraps: all objects with regions below it, whatever the names between; else what its wrapper keys hold; None if it wraps nothing."""
+        found: list = []
+        todo = list(reversed(list(value.values())))
+        while todo:
+            x = unquote(todo.pop())
+            if isinstance(x, dict) and "regions" in x:
+                found.append(x)
+            elif isinstance(x, (list, dict)):
+                todo += reversed(x if isinstance(x, list) else list(x.values()))
+        if found:
+            return found
+        return [x for k in WRAPPERS if isinstance(x := unquote(value.get(k)), (list, dict))] or None
 
     def record(self, value: dict) -> None:
         no, self.records = self.records, self.records + 1
@@ -131,38 +231,43 @@ class Visitor:
         found = value.get("detections")
         if found is None and isinstance(unquote(value.get("boxes")), list):
             found = {k: value.get(k) for k in ("boxes", "labels", "scores")}
-        self.detections(record_no, no, found, 0)
-
-    def detections(self, record_no: int, region_no: int, value: Any, position: int) -> int:
-        """Emit what ``value`` holds from ``position`` on; the next free position."""
-        value = unquote(value)
-        if isinstance(value, list):
-            for item in value:
-                item = unquote(item)
-                position = self.detections(record_no, region_no, item, position) if isinstance(item, (list, dict)) else position + 1
-            return position
-        if not isinstance(value, dict):
-            return position
-        boxes = unquote(value.get("boxes"))
-        if isinstance(boxes, list):
-            labels, scores = (x if isinstance(x := unquote(value.get(k)), list) else [] for k in ("labels", "scores"))
-            at = lambda column, i: column[i] if i < len(column) else None
-            for i, entry in enumerate(boxes):
-                if entry is not None:
-                    self.emit("detection", record_no, region_no, position, {"label": whole(at(labels, i)), "score": number(at(scores, i)), "bbox_in_region": box(entry)})
+        found = unquote(found)
+        if isinstance(found, (list, dict)):
+            self.detections(record_no, no, found)
+
+    def detections(self, record_no: int, region_no: int, value: list | dict) -> None:
+        """Emit what ``value`` holds; whatever is no container takes a position."""
+        position = 0
+        todo: list[Any] = [value]
+        while todo:
+            value = unquote(todo.pop())
+            if isinstance(value, list):
+                todo += reversed(value)
+                continue
+            if not isinstance(value, dict):
                 position += 1
-            return position
-        name = value.get("label_name")
-        self.emit("detection", record_no, region_no, position, {
-            "label": whole(value.get("label")), "label_name": name if isinstance(name, str) else None, "score": number(value.get("score")), "bbox_in_region": box(value.get("bbox_xyxy_norm_in_region")),
-            "bbox_in_page": box(value.get("bbox_xyxy_norm_in_page", value.get("bbox_xyxy_norm"))), "extra": _rest(value, _DETECTION_KEYS),
-        })
-        return position + 1
+                continue
+            boxes = unquote(value.get("boxes"))
+            if isinstance(boxes, list):
+                labels, scores = (x if isinstance(x := unquote(value.get(k)), list) else [] for k in ("labels", "scores"))
+                at = lambda column, i: column[i] if i < len(column) else None
+                for i, entry in enumerate(boxes):
+                    if entry is not None:
+                        self.emit("detection", record_no, region_no, position, {"label": whole(at(labels, i)), "score": number(at(scores, i)), "bbox_in_region": box(entry)})
+                    position += 1
+                continue
+            name = value.get("label_name")
+            self.emit("detection", record_no, region_no, position, {
+                "label": whole(value.get("label")), "label_name": name if isinstance(name, str) else None, "score": number(value.get("score")), "bbox_in_region": box(value.get("bbox_xyxy_norm_in_region")),
+                "bbox_in_page": box(value.get("bbox_xyxy_norm_in_page", value.get("bbox_xyxy_norm"))), "extra": _rest(value, _DETECTION_KEYS),
+            })
+            position += 1
 
 
-_EMITTED = "tag string, pk string, parent string, owner long, record_no int, region_no int, det_no int, payload string"
-_TYPES = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
-_NAMES = [f.split()[0] for f in _EMITTED.split(", ")]
+_EMITTED = "tag string, pk string, parent string, owner long, record_no int, region_no int, det_no int, payload struct<" + ", ".join(f"{k}: {v}" for k, v in _PAYLOAD.items()) + ">"
+_ARROW = {"int": pa.int32(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_(), "array<double>": pa.list_(pa.float64())}
+_TYPES = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.struct([(k, _ARROW[v]) for k, v in _PAYLOAD.items()])]
+_NAMES = ["tag", "pk", "parent", "owner", "record_no", "region_no", "det_no", "payload"]
 
 
 def _emit_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,14 +281,16 @@ def _emit_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for incoming in batches:
         for owner, payload in zip(incoming.column(0).to_pylist(), incoming.column(1).to_pylist()):
+            lead = "" if owner is None else str(owner)
 
-            def emit(tag: str, record_no: int, region_no: int | None, det_no: int | None, fields: dict, owner: int | None = owner) -> None:
-                place = [str(x) for x in (owner, record_no, region_no, det_no) if x is not None] if owner is not None else [str(x) for x in ("", record_no, region_no, det_no) if x is not None]
-                rows.append((tag, "/".join(place), "/".join(place[:-1]), owner, record_no, region_no, det_no, json.dumps({k: v for k, v in fields.items() if v is not None}, ensure_ascii=False)))
+            def emit(tag: str, record_no: int, region_no: int | None, det_no: int | None, fields: dict, owner: int | None = owner, lead: str = lead) -> None:
+                parent = lead if region_no is None else f"{lead}/{record_no}" if det_no is None else f"{lead}/{record_no}/{region_no}"
+                last = record_no if region_no is None else region_no if det_no is None else det_no
+                rows.append((tag, f"{parent}/{last}", parent, owner, record_no, region_no, det_no, fields))
 
             try:
-                value = json.loads(payload)
-            except (ValueError, RecursionError):
+                value = parse(payload)
+            except ValueError:
                 continue
             Visitor(emit).payload(value)
             if len(rows) >= 20_000:
@@ -210,6 +317,6 @@ def write_tagged(df: DataFrame, key: str, payload: str) -> DataFrame:
 
 def tagged_table(tagged: DataFrame, tag: str, key: str) -> DataFrame:
     """The table of ``tag`` with its schema: pk, parent, key columns (owner as ``key``) and its fields."""
-    fields = F.from_json("payload", TABLES[tag]).alias("f")
-    rows = tagged.where(F.col("tag") == tag).select("pk", "parent", *KEYS[tag], fields)
-    return rows.select("pk", "parent", F.col("owner").alias(key), *KEYS[tag][1:], "f.*")
+    fields = [F.col("payload")[f.split()[0]].alias(f.split()[0]) for f in TABLES[tag].split(", ")]
+    rows = tagged.where(F.col("tag") == tag)
+    return rows.select("pk", "parent", F.col("owner").alias(key), *KEYS[tag][1:], *fields)

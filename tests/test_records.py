@@ -3,7 +3,8 @@
 import json
 
 import duckdb
-from pagelathe.operators.records import TABLES, emit_tagged, tagged_table, write_tagged
+import pytest
+from pagelathe.operators.records import TABLES, _parse_deep, emit_tagged, tagged_table, to_json, write_tagged
 
 DET = {"bbox_xyxy_norm_in_region": [0.1, 0.2, 0.3, 0.4], "label": 1, "score": "0.5"}
 COLUMNS = {"boxes": [[0, 0, 1, 1], None, [0, 0, 2, 2]], "labels": ["3", 4], "scores": [0.5, None, "x"]}
@@ -58,6 +59,39 @@ def test_tables_link_and_type(spark):
     assert tagged_table(written, "detection", "sidecar_id").where("sidecar_id IS NULL").count() == 2
 
 
+def test_any_depth_of_lists_quotings_and_wrappers(spark):
+    many = '{"regions": [{"detections": ' + "[" * 50_000 + json.dumps(DET) + "]" * 50_000 + "}]}"
+    broken = '{"regions": [{"detections": ' + "[" * 50_000 + json.dumps(DET) + "]" * 49_999 + "}]}"
+    quoted = json.dumps([DET])
+    for _ in range(20):
+        quoted = json.dumps(quoted) if len(quoted) < 200_000 else quoted
+    wrapped = json.dumps(record([{"detections": [DET, DET]}]))
+    for _ in range(3_000):
+        wrapped = '{"layer": ' + wrapped + "}"
+    beyond = {"regions": [{"detections": [DET]}], "more": None}
+    beyond = json.dumps(beyond)[:-5] + "[" * 20_000 + "1" + "]" * 20_000 + "}"
+    got = detections(spark, many, broken, record([{"detections": quoted}]), wrapped, beyond)
+    assert got == [(0, 0, 0), (2, 0, 0), (3, 0, 0), (3, 0, 1), (4, 0, 0)]
+
+
+def test_wrappers_are_known_by_what_they_hold(spark):
+    one, two = record([{"detections": [DET]}]), record([None, {"detections": [DET, DET]}])
+    got = detections(spark, {"payload": one}, {"result": one, "data": two, "note": {"model": "x"}}, {"a": {"b": [one, {"c": json.dumps(two)}]}})
+    assert got == [(0, 0, 0), *[(i, *p) for i in (1, 2) for p in [(0, 0), (1, 0), (1, 1)]]]
+    rows = found(spark, [{"result": one, "data": two}, {"stage": 3}, {"result": {"stage": 4}}]).where("tag = 'record'").collect()
+    assert sorted((r.owner, r.record_no, r.payload.stage) for r in rows) == [(0, 0, None), (0, 1, None), (1, 0, 3), (2, 0, 4)]
+
+
+def test_deep_parser_equals_the_standard_one():
+    for text in ('{"a": [1, -2.5e3, true, null, "x\\n\\u00e9"], "b": {}, "c": [[], [{}]], "a": 2}', "[]", " 3 ", '"x"', '[1, [2, [3]]]'):
+        assert _parse_deep(text) == json.loads(text)
+        assert to_json(json.loads(text)) == json.dumps(json.loads(text), sort_keys=True, ensure_ascii=False)
+    for bad in ("[1,]", "{,}", '{"a" 1}', "[1 2]", "[}", '{"a": 1', "]", "1 2", '{"a": }', "[1}", "{1: 2}", ""):
+        for read in (json.loads, _parse_deep):
+            with pytest.raises(ValueError):
+                read(bad)
+
+
 def test_very_long_and_deep_payloads(spark):
     deep = DET
     for _ in range(60):
