@@ -5,9 +5,10 @@ chunk ends; where chunks end thus depends on nearby content only, not on line br
 stands elsewhere, reflowed or restyled, falls into the same chunks. Distinct pages are counted per source and
 chunk; chunks on too many pages are repeated and are cut.
 
-For whole lines, line ends close a chunk too, so equal lines always have equal chunks: a line can be repeated
-only if its chunks are. That leaves few lines, which an exact count confirms.
-For lines only hashes and positions are shuffled, never texts; sources are no grouping unit of any task, so one source
+Line ends cut nothing. A line's inner chunks are those whose ends its own letters decide; wherever the line stands they are the same, so a
+line with an inner chunk that is not repeated is not repeated. One all of whose letters lie in repeated chunks is; where only the
+chunks over its ends differ (they reach into other lines), or it is shorter than a chunk, an exact count of the line settles it.
+Only hashes and positions are shuffled, never texts, and texts are read once; sources are no grouping unit of any task, so one source
 that holds a third of all rows is spread like the rest.
 
 For spans without lines every run of letters counts, so none is missed at a chunk's edge. Texts are shuffled to parts of
@@ -25,9 +26,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelathe.llm.codepoints import cased_table, decode, letter_table, lower_table, mix, runs, slices, span_hashes
+from pagelathe.session import cut
 
 #: Letters the rolling hash looks at, and mean letters between content-defined cuts.
-WINDOW, MEAN_CHUNK = 12, 32
+WINDOW, MEAN_CHUNK = 8, 16
 #: Fixed value: the marker that some stored texts begin with.
 PREFIX = "passage: "
 #: Characters a part of the search for spans holds; sources with more are spread over several parts.
@@ -55,52 +57,38 @@ class Letters:
 
 
 class Chunks(Letters):
-    """Letters of a slice of texts, cut into chunks."""
+    """Letters of a slice of texts, cut into chunks by content alone; ``hit`` tells which ends the content decided (others are ends of texts)."""
 
-    def __init__(self, column: pa.Array, line_edges: bool):
+    def __init__(self, column: pa.Array):
         super().__init__(column)
         n = len(self.at)
         edge = np.ones(n + 1, bool)
         if n:
             edge[1:n] = self.text[1:] != self.text[:-1]
-            if line_edges:
-                edge[1:n] |= self.line[1:] != self.line[:-1]
-        unit = np.cumsum(edge[:n])
-        cut = edge.copy()
+        self.hit = np.zeros(n + 1, bool)
         if n >= WINDOW:
             end = np.arange(WINDOW, n + 1)
-            whole = unit[end - 1] == unit[end - WINDOW]
             rolling = span_hashes(self.codes, end - WINDOW, end)
-            cut[end[whole & (rolling % np.uint64(MEAN_CHUNK) == 0)]] = True
-        bounds = np.flatnonzero(cut)
+            self.hit[end] = (rolling % np.uint64(MEAN_CHUNK) == 0) & (self.text[end - 1] == self.text[end - WINDOW])
+        bounds = np.flatnonzero(edge | self.hit)
         self.begin, self.end = bounds[:-1], bounds[1:]
         self.hash = span_hashes(self.codes, self.begin, self.end).view(np.int64)
 
 
-def _page_chunks(line_edges: bool, fewest: int):
-    """Distinct (source, chunk, page) of each slice."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                c = Chunks(part.column(2), line_edges)
-                sized = c.end - c.begin >= fewest
-                row = c.text[c.begin[sized]]
-                source, page = (part.column(k).to_numpy(zero_copy_only=False)[row] for k in range(2))
-                keys = np.stack([source, c.hash[sized], page], axis=1)
-                keys = np.unique(keys, axis=0) if len(keys) else keys.astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[:, k]) for k in range(3)], names=["source", "chunk", "page"])
-
-    return run
+def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers from low to high of each pair in turn, and where each pair's begin (one more entry)."""
+    many = np.maximum(0, high - low)
+    upto = np.concatenate([[0], np.cumsum(many)])
+    return np.repeat(low - upto[:-1], many) + np.arange(upto[-1]), upto
 
 
 def _lines(least_letters: int):
-    """Lines of enough letters: where they stand, the hash of their letters, and their chunk of smallest hash."""
+    """Lines of enough letters: where they stand, the hash of their letters, their inner chunks and those over their ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                c = Chunks(part.column(2), True)
+                c = Chunks(part.column(2))
                 new = np.ones(len(c.at), bool)
                 new[1:] = (c.text[1:] != c.text[:-1]) | (c.line[1:] != c.line[:-1])
                 first = np.flatnonzero(new)
@@ -108,13 +96,23 @@ def _lines(least_letters: int):
                 enough = last - first >= least_letters
                 if not enough.any():
                     continue
-                # Every line begins with a chunk, so chunks of a line lie between two such.
-                chunk = np.minimum.reduceat(c.hash, np.searchsorted(c.begin, first))[enough]
                 first, last = first[enough], last[enough]
                 row = pa.array(c.text[first])
+                # Chunks that touch the line, and of these the inner ones: begun at least a window inside it, ended by its own letters.
+                touch, beyond = np.searchsorted(c.end, first, "right"), np.searchsorted(c.begin, last, "left")
+                inner, after = np.searchsorted(c.begin, first + WINDOW, "left"), np.searchsorted(c.end, last, "right")
+                after = after - ((after > inner) & (c.end[np.maximum(after - 1, 0)] == last) & ~c.hit[last])
+                inner = np.minimum(inner, beyond)
+                after = np.maximum(after, inner)
+                within, upto = _ranges(inner, after)
+                head, head_upto = _ranges(touch, inner)
+                tail, tail_upto = _ranges(after, beyond)
+                order = np.argsort(np.concatenate([np.repeat(np.arange(len(first)), np.diff(u)) for u in (head_upto, tail_upto)]), kind="stable")
+                over = np.concatenate([head, tail])[order]
+                lists = lambda upto, which: pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(c.hash[which]))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(row), part.column(1).take(row), part.column(3).take(row), part.column(4).take(row), pa.array(c.line[first].astype(np.int32)), pa.array(span_hashes(c.codes, first, last).view(np.int64)), pa.array(chunk)],
-                    names=["source", "page", "key", "text_no", "line_no", "line", "chunk"],
+                    [part.column(0).take(row), part.column(1).take(row), part.column(3).take(row), part.column(4).take(row), pa.array(c.line[first].astype(np.int32)), pa.array(span_hashes(c.codes, first, last).view(np.int64)), lists(upto, within), lists(head_upto + tail_upto, over)],
+                    names=["source", "page", "key", "text_no", "line_no", "line", "inner", "over"],
                 )
 
     return run
@@ -132,12 +130,6 @@ def _repeated(page_keys: DataFrame, by: list[str], pages: int) -> DataFrame:
     return page_keys.distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= pages)
 
 
-def repeated_chunks(df: DataFrame, key: str, source: str, page: str, texts: str, pages: int = 6, fewest: int = 1, line_edges: bool = False) -> DataFrame:
-    """Chunks on at least ``pages`` distinct pages of their source: source (hash of the source), chunk, pages."""
-    found = _texts(df, key, source, page, texts).select("source", "page", "text").mapInArrow(_page_chunks(line_edges, fewest), "source long, chunk long, page long")
-    return _repeated(found, ["source", "chunk"], pages)
-
-
 def repeated_lines(df: DataFrame, key: str, source: str, page: str, texts: str, pages: int = 6, letters: int = 20) -> DataFrame:
     """Every occurrence of a line that stands on at least ``pages`` distinct pages of its source: ``key``, text_no, line_no.
 
@@ -147,11 +139,26 @@ def repeated_lines(df: DataFrame, key: str, source: str, page: str, texts: str,
     once, and the occurrences of all its rows are listed; rows that repeat key and content are listed once.
     Rows without source or page, null arrays and null or empty texts have no such lines.
     """
-    chunks = repeated_chunks(df, key, source, page, texts, pages, line_edges=True)
-    lines = _texts(df, key, source, page, texts).mapInArrow(_lines(letters), "source long, page long, key long, text_no int, line_no int, line long, chunk long")
-    likely = lines.join(chunks.select("source", "chunk"), ["source", "chunk"], "left_semi")
-    sure = _repeated(likely.select("source", "line", "page"), ["source", "line"], pages)
-    return likely.join(sure.select("source", "line"), ["source", "line"], "left_semi").select(F.col("key").alias(key), "text_no", "line_no").distinct()
+    return judged_lines(df, key, source, page, texts, pages, letters).select(key, "text_no", "line_no").distinct()
+
+
+def judged_lines(df: DataFrame, key: str, source: str, page: str, texts: str, pages: int = 6, letters: int = 20) -> DataFrame:
+    """The occurrences of ``repeated_lines`` with ``settled``: true where an exact count of the line decided, false where its chunks did."""
+    lines = cut(_texts(df, key, source, page, texts).mapInArrow(_lines(letters), "source long, page long, key long, text_no int, line_no int, line long, inner array<long>, over array<long>"), "lines")
+    chunks = cut(_repeated(lines.select("source", "page", F.explode(F.concat("inner", "over")).alias("chunk")), ["source", "chunk"], pages).select("source", "chunk"), "repeated-chunks")
+    # First by one inner chunk, which most lines fail; then by all.
+    known = chunks.select("source", F.col("chunk").alias("one"))
+    some = lines.where(F.size("inner") > 0).withColumn("one", F.array_min("inner")).join(known, ["source", "one"], "left_semi").drop("one")
+    likely = some.unionByName(lines.where(F.size("inner") == 0))
+    place = ["source", "line", "page", "key", "text_no", "line_no"]
+    marks = F.concat(F.transform("inner", lambda c: F.struct(c.alias("chunk"), F.lit(True).alias("own"))), F.transform("over", lambda c: F.struct(c.alias("chunk"), F.lit(False).alias("own"))))
+    each = likely.select(*place, F.explode(marks).alias("m")).select(*place, "m.chunk", "m.own")
+    held = each.join(chunks.withColumn("repeated", F.lit(True)), ["source", "chunk"], "left").withColumn("repeated", F.coalesce("repeated", F.lit(False)))
+    judged = held.groupBy(*place).agg(F.min(~F.col("own") | F.col("repeated")).alias("inner"), F.min("repeated").alias("whole")).where("inner")
+    judged = cut(judged.select(*place, "whole"), "judged-lines")
+    sure = _repeated(judged.select("source", "line", "page"), ["source", "line"], pages).select("source", "line", F.lit(True).alias("counted"))
+    out = judged.join(sure, ["source", "line"], "left").where("whole OR counted")
+    return out.select(F.col("key").alias(key), "text_no", "line_no", (~F.col("whole")).alias("settled"))
 
 
 def remove_lines(df: DataFrame, found: DataFrame, key: str, texts: str) -> DataFrame:

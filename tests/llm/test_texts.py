@@ -97,6 +97,33 @@ def test_repeated_lines_against_brute_force(spark):
     assert repeated_lines.repeated_lines(df.limit(0), "rec_id", "pdf_path", "page_index", "texts").count() == 0
 
 
+def test_chunks_decide_lines(spark):
+    """Blocks of repeated lines are decided by their chunks alone; exact counts settle single lines at ragged ends."""
+    rng = random.Random(2)
+    block = [f"{text_of(rng, 9)} of the company and its owners" for _ in range(5)]
+    # Each line occurs on every page, but the second's second half on pages of its own.
+    rows = [(k, "p", k, ["\n".join([text_of(rng, 12), *block, text_of(rng, 12)]), block[0] + " " + text_of(rng, 6)]) for k in range(12)]
+    df = spark.createDataFrame(rows, DDL)
+    got = repeated_lines.judged_lines(df, "rec_id", "pdf_path", "page_index", "texts").collect()
+    want = brute_lines(rows, 6, 20)
+    assert {(r.rec_id, r.text_no, r.line_no) for r in got} == want == {(k, 0, i) for k in range(12) for i in range(1, 6)}
+    by_chunks = {r.line_no for r in got if not r.settled}
+    assert by_chunks >= {2, 3, 4}
+    assert repeated_lines.judged_lines(df, "rec_id", "pdf_path", "page_index", "texts", pages=13).count() == 0
+
+
+def test_inner_chunks_do_not_depend_on_neighbours():
+    rng = random.Random(8)
+    for _ in range(30):
+        line = text_of(rng, rng.randrange(4, 14))
+        alike = []
+        for before, after in ((text_of(rng, 5) + "\n", "\n" + text_of(rng, 5)), ("", ""), ("x\n", ""), ("", " \nyes")):
+            batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([before + line + after]), pa.array([3]), pa.array([0], pa.int32())], names=["source", "page", "text", "key", "text_no"])
+            out = pa.Table.from_batches(repeated_lines._lines(1)([batch])).to_pylist()
+            alike.append(next((tuple(r["inner"]), r["line"]) for r in out if r["line_no"] == before.count("\n")))
+        assert len(set(alike)) == 1
+
+
 def test_reflowed_passages_are_found_without_lines(spark):
     rng = random.Random(1)
     notice = "this notice was printed on every single page of the whole report by order of the board of directors and may not be removed from copies. "
