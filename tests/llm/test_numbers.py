@@ -29,25 +29,58 @@ def clustered(n=3000, d=96, seed=1):
     return (centres[rng.integers(0, len(centres), n)] + rng.normal(size=(n, d)) * rng.choice([0.2, 0.45], (n, 1))).astype(np.float32) * rng.uniform(0.1, 9, (n, 1)).astype(np.float32)
 
 
-def test_one_list_is_exact_and_several_reach_recall(spark, monkeypatch):
+def test_one_list_is_exact_and_several_reach_recall(spark):
     x = clustered()
     ids = np.arange(len(x)) * 3
     df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, vector array<float>").repartition(3).cache()
     want = brute_pairs(ids, x.astype(np.float64), 5, 0.85)
     assert len(want) > 1000
-    pairs = lambda: {(r.id_a, r.id_b) for r in neighbours.similar_pairs(df, "vec_id", "vector").collect()}
-    monkeypatch.setattr(neighbours, "LIST_ROWS", 5000)
-    neighbours.nearest.__defaults__ = (2, 5000)
-    got = pairs()
+    pairs = lambda **kw: {(r.id_a, r.id_b) for r in neighbours.similar_pairs(df, "vec_id", "vector", **kw).collect()}
+    got = pairs(list_rows=5000)
     assert len(got & want) >= 0.999 * len(want) and len(got - want) <= 0.001 * len(want)
-    neighbours.nearest.__defaults__ = (2, 200)
-    assert len(pairs() & want) >= 0.9 * len(want)
+    assert len(pairs(list_rows=200) & want) >= 0.9 * len(want)
     # Lists cut into blocks give what whole lists give.
-    neighbours.nearest.__defaults__ = (2, 5000)
-    monkeypatch.setattr(neighbours, "TASK_ROWS", 700)
-    blocked = pairs()
-    neighbours.nearest.__defaults__ = (2, 2048)
-    assert blocked == got
+    assert pairs(list_rows=5000, task_rows=700) == got
+
+
+@pytest.mark.parametrize("kind", ["clustered", "random"])
+def test_k_nearest_without_a_floor(spark, kind):
+    """Every vector's 10 nearest through several lists: recall over the queries whose id is divisible by 50."""
+    x = clustered(4000) if kind == "clustered" else np.random.default_rng(5).normal(size=(4000, 24)).astype(np.float32) @ np.random.default_rng(6).normal(size=(24, 96)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, vector array<float>").repartition(3)
+    got = neighbours.nearest(neighbours.usable_vectors(df, "vec_id", "vector", 96), 96, 10, probes=6, list_rows=250).where("id % 50 = 0").collect()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = unit[::50] @ unit.T
+    s[np.arange(80), np.arange(0, 4000, 50)] = -9
+    want = {(i * 50, int(j)) for i in range(80) for j in np.argsort(-s[i])[:10]}
+    assert len(got) == 800 and len({(r.id, r.other) for r in got} & want) >= 0.9 * 800
+
+
+def test_scan_without_a_floor_equals_brute_force_and_abandons():
+    x = clustered(3000, seed=4)
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32) @ neighbours.rotation(96)
+    ids = np.arange(len(x))
+    q, m, _ = neighbours.adaptive_scan(x[:500], x, ids[:500], ids, 5)
+    s = x[:500].astype(np.float64) @ x.T.astype(np.float64)
+    s[np.arange(500), np.arange(500)] = -9
+    want = {(i, int(j)) for i in range(500) for j in np.argsort(-s[i])[:5]}
+    assert len(set(zip(q.tolist(), m.tolist())) & want) >= 0.98 * len(want)
+    # Once a k-th best is known, most candidates go before their last column block.
+    qb, mb = neighbours._blocks(x[:500]), neighbours._blocks(x)
+    kth = (2 * (1 - np.sort(s, axis=1)[:, -5]) + 1e-6).astype(np.float32)
+    alive, _ = neighbours._alive(qb[:1], mb[:1], slice(0, 500), slice(0, 2048), kth, [np.float32((1 + neighbours.SIGNIFICANCE / np.sqrt(32)) ** 2 / 3)], 5)
+    assert len(alive) < 0.5 * 500 * 2048
+
+
+def test_two_levels_of_lists_find_the_nearest_lists():
+    x = clustered(9000, seed=2)
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    known = neighbours.Lists(x, 600)
+    assert known.cells is not None and len(known.centroids) >= 500
+    got = known.nearest(x[:800], 3)
+    want = np.argsort(-(x[:800] @ known.centroids.T), axis=1)[:, :3]
+    assert np.mean([len(set(a) & set(b)) for a, b in zip(got.tolist(), want.tolist())]) >= 2.7
+    assert all(len(set(r)) == 3 for r in got.tolist())
 
 
 def test_copies_ties_and_unusable_vectors(spark):
