@@ -2,7 +2,8 @@
 
 A sketch is a stack of compactors: an item on level h stands for 2**h values. When a compactor is full, its
 upper part, which is nearest to the protected tail, stays as it is; the lower part is sorted and every
-second item of it moves up a level. How much is compacted follows the trailing ones of the number of
+second item of it moves up a level. Whether the even or the odd ones move is a coin of the sketch's own (its seed) for every first of two compactions, and the other
+side for the second, so errors of sketches and of successive compactions cancel instead of adding up. How much is compacted follows the trailing ones of the number of
 compactions so far, so the items next to the tail are touched exponentially seldom. The rank error is
 therefore a fraction of the distance to the tail (1 - rank) instead of a fraction of all values: the 99.9th
 percentile is as sound as the median. Levels of two sketches join level by level, so sketches of
@@ -11,21 +12,26 @@ partitions, hours or days combine in any order.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagelathe.llm.codepoints import mix
+from pagelathe.session import cut
+
 
 class TailSketch:
     """Relative-rank compactors that protect the upper tail; ``section`` sets the accuracy."""
 
-    def __init__(self, section: int = 64, sections: int = 4):
-        self.section, self.start_sections = section, sections
+    def __init__(self, section: int = 64, sections: int = 4, seed: int = 0):
+        self.section, self.start_sections, self.seed = section, sections, seed & 0xFFFFFFFFFFFF
         self.levels: list[np.ndarray] = [np.empty(0)]
         self.compactions: list[int] = [0]
         self.count, self.low, self.high = 0, np.inf, -np.inf
@@ -60,8 +66,7 @@ class TailSketch:
         keep = self._room(level) // 2 + max(0, self._sections(level) - ones - 1) * self.section
         cut = max(2, len(items) - keep)
         cut -= cut % 2
-        # Which of the two halves moves up alternates by a fixed mix of level and state: results repeat.
-        odd = (state * 0x9E3779B1 + level * 0x85EBCA77 >> 7) & 1
+        odd = self._coin(level, state // 2) ^ (state & 1)
         up, self.levels[level] = items[odd:cut:2], items[cut:]
         self.compactions[level] += 1
         if level + 1 == len(self.levels):
@@ -69,6 +74,11 @@ class TailSketch:
             self.compactions.append(0)
         self.levels[level + 1] = np.concatenate([self.levels[level + 1], up])
 
+    def _coin(self, level: int, throw: int) -> int:
+        x = (self.seed * 0x9E3779B97F4A7C15 + level * 0xBF58476D1CE4E5B9 + throw * 0x94D049BB133111EB + 0x2545F4914F6CDD1D) & 0xFFFFFFFFFFFFFFFF
+        x = ((x ^ (x >> 31)) * 0xD6E8FEB86659FD93) & 0xFFFFFFFFFFFFFFFF
+        return (x ^ (x >> 29)) >> 40 & 1
+
     def merge(self, other: TailSketch) -> None:
         while len(self.levels) < len(other.levels):
             self.levels.append(np.empty(0))
@@ -76,6 +86,7 @@ class TailSketch:
         for h, items in enumerate(other.levels):
             self.levels[h] = np.concatenate([self.levels[h], items])
             self.compactions[h] |= other.compactions[h]
+        self.seed = (self.seed * 31 + other.seed + 1) & 0xFFFFFFFFFFFF
         self.count += other.count
         self.low, self.high = min(self.low, other.low), max(self.high, other.high)
         self._settle()
@@ -100,17 +111,17 @@ class TailSketch:
         return out
 
     def to_bytes(self) -> bytes:
-        head = np.array([self.section, self.start_sections, len(self.levels), self.count], np.int64)
+        head = np.array([self.section, self.start_sections, len(self.levels), self.count, self.seed], np.int64)
         sizes = np.array([len(x) for x in self.levels] + self.compactions, np.int64)
         return b"".join([head.tobytes(), sizes.tobytes(), np.array([self.low, self.high]).tobytes(), np.concatenate(self.levels).astype(np.float64).tobytes()])
 
     @classmethod
     def from_bytes(cls, raw: bytes) -> TailSketch:
-        section, sections, levels, count = np.frombuffer(raw, np.int64, 4).tolist()
-        out = cls(section, sections)
-        sizes = np.frombuffer(raw, np.int64, 2 * levels, 32)
+        section, sections, levels, count, seed = np.frombuffer(raw, np.int64, 5).tolist()
+        out = cls(section, sections, seed)
+        sizes = np.frombuffer(raw, np.int64, 2 * levels, 40)
         out.count, out.compactions = count, sizes[levels:].tolist()
-        at = 32 + 16 * levels
+        at = 40 + 16 * levels
         out.low, out.high = np.frombuffer(raw, np.float64, 2, at).tolist()
         values = np.frombuffer(raw, np.float64, int(sizes[:levels].sum()), at + 16)
         out.levels = [x.copy() for x in np.split(values, np.cumsum(sizes[:levels])[:-1])]
@@ -125,6 +136,8 @@ def _partial(keys: list[str], section: int, held_groups: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, TailSketch] = {}
+        # The task's number, not its attempt: a task run again makes the same sketches.
+        task = TaskContext.get().partitionId() if TaskContext.get() else 0
 
         def flush() -> pa.RecordBatch:
             columns = [pa.array([k[i] for k in held], pa.string()) for i in range(len(keys))]
@@ -137,7 +150,7 @@ def _partial(keys: list[str], section: int, held_groups: int):
             for key, values in frame.groupby(keys, dropna=False, sort=False)["__value"]:
                 name = tuple(None if pd.isna(k) else k for k in key)
                 if name not in held:
-                    held[name] = TailSketch(section)
+                    held[name] = TailSketch(section, seed=zlib.crc32(repr((task, name)).encode()))
                 held[name].add(values.to_numpy(np.float64))
             if len(held) > held_groups:
                 yield flush()
@@ -197,15 +210,59 @@ def read_quantiles(sketches: DataFrame, at: list[float]) -> DataFrame:
     return sketches.select(*[k.name for k in keys], _SKETCH).mapInArrow(run, T.StructType(fields))
 
 
+#: Bits of the filter of repeated keys, at most (16 MB); beyond some ten million repeated keys more single rows pass it and are shuffled.
+MOST_BITS = 1 << 27
+
+
+def without_repeats(df: DataFrame, keys: list[str], most_bits: int = MOST_BITS) -> DataFrame:
+    """One row of each ``keys`` (null equals null); which of several is not determined.
+
+    Hashes of keys are counted first: eight bytes a row are shuffled. Those that repeat make a filter of bounded size; rows it does not hold
+    stay where they are, and only those it holds are shuffled whole.
+    """
+    spark = df.sparkSession
+    hashed = F.xxhash64(*keys)
+    repeated = cut(df.groupBy(hashed.alias("h")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "repeated-keys")
+    count = repeated.count()
+    if not count:
+        return df
+    bits = min(most_bits, 1 << max(10, (16 * count - 1).bit_length()))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(bits // 8, np.uint8)
+        for batch in batches:
+            for place in _places(batch.column(0).to_numpy(), bits):
+                np.bitwise_or.at(held, place >> 3, (1 << (place & 7)).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(held.tobytes(), 1)], pa.binary())], names=["held"])
+
+    parts = [np.frombuffer(zlib.decompress(r.held), np.uint8) for r in repeated.coalesce(4).mapInArrow(mark, "held binary").collect()]
+    shared = spark.sparkContext.broadcast(np.bitwise_or.reduce(parts))
+
+    @F.pandas_udf("boolean")
+    def perhaps(h: pd.Series) -> pd.Series:
+        held = shared.value
+        out = np.ones(len(h), bool)
+        for place in _places(h.to_numpy(), bits):
+            out &= (held[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+        return pd.Series(out)
+
+    marked = df.withColumn("__perhaps", perhaps(hashed))
+    return marked.where("NOT __perhaps").drop("__perhaps").unionByName(marked.where("__perhaps").drop("__perhaps").dropDuplicates(keys))
+
+
+def _places(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
+    h = hashes.astype(np.int64).view(np.uint64)
+    return [(x % np.uint64(bits)).astype(np.int64) for x in (h, mix(h), mix(h + np.uint64(0x9E3779B97F4A7C15)))]
+
+
 def metric_values(metrics: DataFrame) -> DataFrame:
     """Long form of page metrics: run_day, metric_field, metric_name, value; a page's run counts once.
 
-    Null maps, and entries without seconds, yield nothing (or a null value, which no sketch counts). Only the
-    maps' values of interest survive the deduplication's shuffle.
+    Null maps, and entries without seconds, yield nothing (or a null value, which no sketch counts). Rows are shuffled
+    only if their key may be a repeated one.
     """
-    once = metrics.select(
-        "pdf_path", "page_index", "run_at", F.col("timing_s"), F.transform_values("models", lambda _, m: m["seconds"]).alias("seconds")
-    ).dropDuplicates(["pdf_path", "page_index", "run_at"])
+    seconds = F.transform_values("models", lambda _, m: m["seconds"]).alias("seconds")
+    once = without_repeats(metrics.select("pdf_path", "page_index", "run_at", "timing_s", "models"), ["pdf_path", "page_index", "run_at"]).select("run_at", "timing_s", seconds)
     entry = lambda name: F.transform(F.map_entries(F.coalesce(F.col(name), F.expr("cast(map() as map<string,double>)"))), lambda e: F.struct(F.lit(name).alias("metric_field"), e["key"].alias("metric_name"), e["value"].alias("value")))
     each = once.select(F.date_format("run_at", "yyyy-MM-dd").alias("run_day"), F.explode(F.concat(entry("timing_s"), entry("seconds"))).alias("m"))
     return each.select("run_day", "m.metric_field", "m.metric_name", "m.value")
