@@ -25,7 +25,10 @@ from pagelathe.llm.codepoints import decode, mix, slices, words
 WINDOW, BLOCK, SEGMENT = 12, 2, 192
 #: Words of all items together that may be broadcast as a pattern set; larger sets are searched in parts.
 MOST_ITEM_WORDS = 2_000_000
-_TABLE_BITS = 20
+#: Words of a window whose hash selects its bucket, places of the shift table for each block of the patterns, and its bits at least and at most.
+SUFFIX, PLACES, _LEAST_BITS, _MOST_BITS = 4, 8, 12, 26
+#: Candidates compared at once.
+_COMPARED = 1 << 18
 _STEP = np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -37,56 +40,65 @@ def _fold(hashes: np.ndarray, begin: np.ndarray, length: int) -> np.ndarray:
 
 
 class PatternSet:
-    """Windows of one length: shift table over blocks, and buckets by the hash of the whole window."""
+    """Windows of one length: shift table over blocks, and buckets by the hash of the window's last words."""
 
     def __init__(self, length: int, hashes: np.ndarray, begin: np.ndarray, item: np.ndarray):
-        self.length, self.block = length, min(BLOCK, length)
+        self.length, self.block, self.suffix = length, min(BLOCK, length), min(SUFFIX, length)
         self.hashes = hashes
-        key = _fold(hashes, begin, length)
+        key = _fold(hashes, begin + length - self.suffix, self.suffix)
         order = np.argsort(key, kind="stable")
         self.key, self.begin, self.item = key[order], begin[order], item[order]
         most = length - self.block + 1
-        self.shift = np.full(1 << _TABLE_BITS, most, np.int16)
-        for ends_before in range(most):
-            block = self._slot(_fold(hashes, begin + length - self.block - ends_before, self.block))
-            np.minimum.at(self.shift, block, np.int16(ends_before))
-
-    @staticmethod
-    def _slot(block: np.ndarray) -> np.ndarray:
-        return (block >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
-
-    def search(self, hashes: np.ndarray, begin: np.ndarray, end: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(owner, item) of every occurrence within ``hashes[begin:end]`` of the segments; pairs may repeat."""
+        blocks = [_fold(hashes, begin + length - self.block - ends_before, self.block) for ends_before in range(most)]
+        # Windows of an item overlap, so blocks are about as many as windows.
+        distinct = len(np.unique(np.concatenate([blocks[0], blocks[-1]])))
+        self.bits = min(_MOST_BITS, max(_LEAST_BITS, (PLACES * distinct - 1).bit_length()))
+        self.shift = np.full(1 << self.bits, most, np.int8)
+        for ends_before, block in enumerate(blocks):
+            np.minimum.at(self.shift, self._slot(block), np.int8(ends_before))
+
+    def _slot(self, block: np.ndarray) -> np.ndarray:
+        return (block >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def search(self, hashes: np.ndarray, begin: np.ndarray, end: np.ndarray, owner: np.ndarray, steps: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(owner, item) of every occurrence within ``hashes[begin:end]`` of the segments; pairs may repeat. ``steps`` counts looks and words moved."""
         at, last, who = begin.copy(), end - self.length, owner
-        # The blocks of all positions at once: cheaper than hashing them round by round.
-        n = len(hashes) - self.block + 1
-        if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        shift_at = self.shift[self._slot(_fold(hashes, np.arange(n), self.block))]
         hits: list[tuple[np.ndarray, np.ndarray]] = []
-        alive = at <= last
-        at, last, who = at[alive], last[alive], who[alive]
         tail = self.length - self.block
-        while len(at):
-            shift = shift_at[at + tail]
+        while True:
+            alive = at <= last
+            at, last, who = at[alive], last[alive], who[alive]
+            if not len(at):
+                break
+            shift = self.shift[self._slot(_fold(hashes, at + tail, self.block))]
             zero = shift == 0
             if zero.any():
                 hits.append((at[zero], who[zero]))
-            at = at + np.maximum(shift, 1)
-            alive = at <= last
-            at, last, who = at[alive], last[alive], who[alive]
+            move = np.maximum(shift, 1)
+            if steps is not None:
+                steps[0] += len(at)
+                steps[1] += int(move.sum())
+            at = at + move
         if not hits:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         place, text = (np.concatenate(x) for x in zip(*hits))
-        key = _fold(hashes, place, self.length)
+        key = _fold(hashes, place + self.length - self.suffix, self.suffix)
         low, high = np.searchsorted(self.key, key, "left"), np.searchsorted(self.key, key, "right")
-        many = high - low
-        place, text = np.repeat(place, many), np.repeat(text, many)
-        entry = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        same = np.ones(len(place), bool)
-        for k in range(self.length):
-            same &= hashes[place + k] == self.hashes[self.begin[entry] + k]
-        return text[same], self.item[entry[same]]
+        upto = np.concatenate([[0], np.cumsum(high - low)])
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        begins = 0
+        while begins < len(place):
+            # A bucket is compared whole, a run of windows at a time.
+            ends = max(begins + 1, int(np.searchsorted(upto, upto[begins] + _COMPARED, "right")) - 1)
+            many = (high - low)[begins:ends]
+            which = np.repeat(np.arange(begins, ends), many)
+            entry = np.repeat(low[begins:ends] - upto[begins:ends], many) + np.arange(upto[begins], upto[ends])
+            for k in range(self.length):
+                same = hashes[place[which] + k] == self.hashes[self.begin[entry] + k]
+                which, entry = which[same], entry[same]
+            found.append((text[which], self.item[entry]))
+            begins = ends
+        return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def pattern_sets(items: list[int], texts: list[str | None], window: int = WINDOW) -> list[PatternSet]:

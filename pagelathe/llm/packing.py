@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 
 from pagelathe.llm.codepoints import decode, slices, space_table, word_table
 
+#: Repeated rows that are numbered at once.
+COPIES = 100_000
+
 
 def count_tokens(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Tokens of each text: maximal runs of word characters, and maximal runs of other non-space characters."""
@@ -118,7 +121,7 @@ def best_two_fit(sizes: np.ndarray, capacity: int) -> np.ndarray:
 
 def _pack(capacity: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["item", "piece_no"], kind="stable", ignore_index=True)
+        group = group.sort_values(["item", "token_begin", "size", "copy"], kind="stable", ignore_index=True)
         group["bin_no"] = best_two_fit(group["size"].to_numpy(), capacity)
         return group[["lot", "bin_no", "item", "piece_no", "pieces", "token_begin", "size"]]
 
@@ -132,17 +135,22 @@ def pack_items(sized: DataFrame, capacity: int = 1024, lot_items: int = 20_000,
     the capacity is the only kind that is split: into full pieces and a rest, by token position. Items of
     0 or null tokens take no room and are left out. Repeated rows are items of their own. An empty table
     gives an empty result. ``lot_items`` bounds what one task packs; lots are drawn by a hash of the item,
-    salted by its size so that one id that holds many rows spreads too. ``items`` is their number if known.
+    salted by its size and the number of the copy so that one id that holds many rows spreads too. The same rows give the
+    same containers, however they are stored. ``items`` is their number if known.
     """
     real = sized.where(F.col("tokens") > 0).select(F.col("item"), F.col("tokens").cast("long").alias("tokens"))
     if items is None:
         items = real.agg(F.sum(F.ceil(F.col("tokens") / capacity))).first()[0] or 0
     lots = max(1, -(-int(items) // lot_items))
+    # Repeated rows are numbered by counting them, so nothing depends on where a row stands in its file.
+    copies = real.groupBy("item", "tokens").agg(F.count(F.lit(1)).alias("copies"))
+    runs = copies.select("item", "tokens", "copies", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES))).alias("run"))
+    each = runs.select("item", "tokens", F.explode(F.sequence(F.col("run") * COPIES, F.least(F.col("copies"), (F.col("run") + 1) * COPIES) - 1)).alias("copy"))
     count = F.expr(f"cast(ceil(tokens / {capacity}) as int)")
-    pieces = real.select("item", "tokens", count.alias("pieces"), F.explode(F.sequence(F.lit(0), count - 1)).alias("piece_no"))
+    pieces = each.select("item", "tokens", "copy", count.alias("pieces"), F.explode(F.sequence(F.lit(0), count - 1)).alias("piece_no"))
     begin = F.col("piece_no").cast("long") * capacity
     pieces = pieces.select(
-        F.pmod(F.xxhash64("item", "tokens", "piece_no", F.monotonically_increasing_id()), F.lit(lots)).cast("int").alias("lot"),
-        "item", "piece_no", "pieces", begin.alias("token_begin"), F.least(F.lit(capacity).cast("long"), F.col("tokens") - begin).alias("size"),
+        F.pmod(F.xxhash64("item", "tokens", "piece_no", "copy"), F.lit(lots)).cast("int").alias("lot"),
+        "item", "copy", "piece_no", "pieces", begin.alias("token_begin"), F.least(F.lit(capacity).cast("long"), F.col("tokens") - begin).alias("size"),
     )
     return pieces.groupBy("lot").applyInPandas(_pack(capacity), "lot int, bin_no long, item long, piece_no int, pieces int, token_begin long, size long")

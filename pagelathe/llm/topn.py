@@ -1,6 +1,6 @@
 """Top N items within every group, by partition lower bounds.
 
-Each task keeps, of every group it meets, the N best distinct items of what it has seen: the N-th of them
+A score to be greatest is negated first, so the smallest are wanted throughout. Each task keeps, of every group it meets, the N best distinct items of what it has seen: the N-th of them
 bounds the group's final N-th from the wrong side, so nothing beyond it can be in the result. The bounds
 of all tasks meet in one aggregation (a row per group and task, partly aggregated before the shuffle), the
 tightest is joined back, survivors beyond it go, and only what is left is ranked.
@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,24 +69,26 @@ def _local_best(n: int, merge_rows: int):
     return run
 
 
-def top_n(df: DataFrame, group: str, item: str, score: str, n: int, merge_rows: int = 200_000) -> DataFrame:
-    """The ``n`` items of smallest ``score`` of each group: columns ``group``, ``item``, ``score``, ``rank`` (from 1).
+def top_n(df: DataFrame, group: str, item: str, score: str, n: int, merge_rows: int = 200_000, largest: bool = False, valid: Column | str | None = None) -> DataFrame:
+    """The ``n`` items of smallest (with ``largest``, of greatest) ``score`` of each group: columns ``group``, ``item``, ``score``, ``rank`` (from 1).
 
-    ``group`` and ``item`` are integer columns, ``score`` is a number. An item counts once per group, with its
-    smallest valid score. Ties go to the smaller item. Scores that are null, NaN or negative, and rows without
-    group or item, are invalid and never returned; a group without a valid row is absent, one with fewer than
+    ``group`` and ``item`` are integer columns, ``score`` is a number of any sign. An item counts once per group, with its
+    best valid score. Ties go to the smaller item. Scores that are null or NaN, rows without group or item, and rows that fail the
+    condition ``valid`` if one is given, never count; a group without a valid row is absent, one with fewer than
     ``n`` items yields what it has. Repeated rows change nothing. Other columns of ``df`` are ignored, whatever
     their names. An empty table gives an empty result. ``merge_rows`` bounds what a task holds at once.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-    valid = df.select(F.col(group).cast("long").alias(_GROUP), F.col(item).cast("long").alias(_ITEM), F.col(score).cast("double").alias(_SCORE)).where(
-        F.col(_GROUP).isNotNull() & F.col(_ITEM).isNotNull() & F.col(_SCORE).isNotNull() & ~F.isnan(_SCORE) & (F.col(_SCORE) >= 0)
+    rows = df if valid is None else df.where(valid)
+    toward = F.col(score).cast("double") * (-1.0 if largest else 1.0)
+    known = rows.select(F.col(group).cast("long").alias(_GROUP), F.col(item).cast("long").alias(_ITEM), toward.alias(_SCORE)).where(
+        F.col(_GROUP).isNotNull() & F.col(_ITEM).isNotNull() & F.col(_SCORE).isNotNull() & ~F.isnan(_SCORE)
     )
     schema = T.StructType([T.StructField(_GROUP, T.LongType()), T.StructField(_ITEM, T.LongType()), T.StructField(_SCORE, T.DoubleType()), T.StructField(_BOUND, T.DoubleType())])
-    survivors = cut(valid.mapInArrow(_local_best(n, merge_rows), schema), "topn")
+    survivors = cut(known.mapInArrow(_local_best(n, merge_rows), schema), "topn")
     bounds = survivors.groupBy(_GROUP).agg(F.min(_BOUND).alias("__tightest"))
     within = survivors.drop(_BOUND).join(bounds, _GROUP).where(F.col(_SCORE) <= F.col("__tightest"))
     distinct = within.groupBy(_GROUP, _ITEM).agg(F.min(_SCORE).alias(_SCORE))
     ranked = distinct.withColumn("rank", F.row_number().over(Window.partitionBy(_GROUP).orderBy(_SCORE, _ITEM))).where(F.col("rank") <= n)
-    return ranked.select(F.col(_GROUP).alias(group), F.col(_ITEM).alias(item), F.col(_SCORE).alias(score), "rank")
+    return ranked.select(F.col(_GROUP).alias(group), F.col(_ITEM).alias(item), (F.col(_SCORE) * (-1.0 if largest else 1.0)).alias(score), "rank")

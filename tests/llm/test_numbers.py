@@ -153,7 +153,6 @@ def test_empty_sketch():
 def test_sketch_groups_awkward_input(spark):
     rows = [("a", 1.0), ("a", 3.0), ("a", None), ("a", NAN), ("a", -1.0), ("a", float("inf")), (None, 2.0), ("b", None)]
     df = spark.createDataFrame(rows, "g string, v double").withColumnRenamed("v", "sketch")
-    got = {r.g: (r.n, r.quantiles) for r in quantiles.read_quantiles(quantiles.sketch_groups(df, ["g"], "sketch"), [0.5]).collect()} if False else None
     df = df.withColumnRenamed("sketch", "value")
     got = {r.g: (r.n, r.quantiles) for r in quantiles.read_quantiles(quantiles.sketch_groups(df, ["g"], "value"), [0.5]).collect()}
     assert got == {"a": (2, [2.0]), None: (1, [2.0])}
@@ -169,6 +168,40 @@ def test_merge_order_does_not_matter_much(spark):
     assert a.n == b.n == 20_000 and abs(a.quantiles[0] - b.quantiles[0]) < 0.1
 
 
+def test_coins_differ_between_sketches_and_alternate():
+    coins = [[quantiles.TailSketch(8, seed=seed)._coin(level, throw) for level in range(4) for throw in range(16)] for seed in range(40)]
+    assert 0.4 < np.mean(coins) < 0.6 and len({tuple(c) for c in coins}) == 40
+    # The second of two compactions moves the side the first left.
+    a, b = quantiles.TailSketch(8, seed=3), quantiles.TailSketch(8, seed=3)
+    for s in (a, b):
+        s.add(np.arange(500.0))
+    assert all((x == y).all() for x, y in zip(a.levels, b.levels)) and quantiles.TailSketch.from_bytes(a.to_bytes()).seed == 3
+
+
+def test_errors_of_many_partitions_cancel():
+    """Merged sketches of 400 partitions that saw the same values: the median's rank error stays far below that of one partition's coin."""
+    values = np.sort(np.random.default_rng(0).exponential(1, 600))
+    whole = quantiles.TailSketch(8, seed=1)
+    for part in range(400):
+        one = quantiles.TailSketch(8, seed=part * 7919)
+        one.add(values)
+        whole.merge(one)
+    for q in (0.5, 0.9, 0.99):
+        got = whole.quantiles([q])[0]
+        assert abs(np.searchsorted(values, got) / 600 - q) <= 0.1 * (1 - q) + 2 / 600
+
+
+def test_repeated_keys_are_dropped_without_a_shuffle_of_the_rest(spark):
+    rng = np.random.default_rng(1)
+    rows = [(f"k{k}", int(k) % 7, {"a": float(k)}) for k in rng.integers(0, 9000, 12_000)] + [(None, None, {"a": -1.0})] * 3 + [("hot", 1, {"a": -2.0})] * 4000
+    df = spark.createDataFrame(rows, "a string, b int, m map<string,double>").repartition(5)
+    want = {(a, b) for a, b, _ in rows}
+    for bits in (quantiles.MOST_BITS, 1024):
+        got = [(r.a, r.b) for r in quantiles.without_repeats(df, ["a", "b"], bits).collect()]
+        assert len(got) == len(want) and set(got) == want
+    assert quantiles.without_repeats(df.limit(0), ["a", "b"]).count() == 0
+
+
 def test_metric_values_awkward_rows(spark):
     ddl = "pdf_path string, page_index int, run_at timestamp, timing_s map<string,double>, models map<string,struct<calls:int,seconds:double,items:int,batch_size_hist:map<string,int>>>"
     import datetime as dt
@@ -191,12 +224,20 @@ def test_top_n_against_brute_force(spark):
     df = spark.createDataFrame(rows, "g long, i long, s double").repartition(5)
     assert {tuple(r) for r in top_n(df, "g", "i", "s", 5).collect()} == want
     assert {tuple(r) for r in top_n(df, "g", "i", "s", 5, merge_rows=100).collect()} == want
+    most = {}
+    for g, i, s in rows:
+        most.setdefault(g, {})[i] = max(s - 4, most.get(g, {}).get(i, -99))
+    want = {(g, i, r + 1) for g, items in most.items() for r, (s, i) in enumerate(sorted((-s, i) for i, s in items.items())[:5])}
+    assert {(r.g, r.i, r["rank"]) for r in top_n(df.selectExpr("g", "i", "s - 4 AS s"), "g", "i", "s", 5, largest=True).collect()} == want
 
 
 def test_top_n_awkward_input(spark):
     rows = [(1, 1, NAN, 0), (1, 2, None, 0), (1, 3, -1.0, 0), (1, 4, 0.5, 0), (1, 4, 0.5, 0), (1, 4, 0.7, 0), (None, 5, 0.1, 0), (1, None, 0.1, 0), (2, 6, NAN, 0), (3, 7, 0.0, 0)]
     df = spark.createDataFrame(rows, "g long, i long, s double, rank int")
-    assert {tuple(r) for r in top_n(df, "g", "i", "s", 3).collect()} == {(1, 4, 0.5, 1), (3, 7, 0.0, 1)}
+    assert {tuple(r) for r in top_n(df, "g", "i", "s", 3, valid="s >= 0").collect()} == {(1, 4, 0.5, 1), (3, 7, 0.0, 1)}
+    # Of any sign where nothing says otherwise, and from either end.
+    assert {tuple(r) for r in top_n(df, "g", "i", "s", 3).collect()} == {(1, 3, -1.0, 1), (1, 4, 0.5, 2), (3, 7, 0.0, 1)}
+    assert {tuple(r) for r in top_n(df, "g", "i", "s", 1, largest=True).collect()} == {(1, 4, 0.7, 1), (3, 7, 0.0, 1)}
     assert top_n(df.limit(0), "g", "i", "s", 3).count() == 0
     with pytest.raises(ValueError):
         top_n(df, "g", "i", "s", 0)
@@ -230,6 +271,15 @@ def test_packing_wastes_little(spark):
     assert (out[out["size"] < 1024].groupby("item").size() == 1).all()
 
 
+def test_packing_does_not_depend_on_storage(spark):
+    rng = np.random.default_rng(6)
+    rows = [(int(i % 700), int(t)) for i, t in enumerate(rng.lognormal(5, 1, 2000).astype(int) + 1)] + [(5, 77)] * 300
+    df = spark.createDataFrame(rows, "item long, tokens long")
+    key = ["lot", "bin_no", "item", "piece_no", "pieces", "token_begin", "size"]
+    one, two = (sorted(map(tuple, packing.pack_items(df.repartition(n, c), 1024, 400).select(*key).collect())) for n, c in ((1, "item"), (5, "tokens")))
+    assert one == two and len(one) >= 2300
+
+
 def test_packing_awkward_input(spark):
     df = spark.createDataFrame([(1, 0), (2, None), (3, 1024), (4, 1025), (3, 1024), (None, 5)], "item long, tokens long").withColumnRenamed("tokens", "tokens")
     out = packing.pack_items(df).toPandas()

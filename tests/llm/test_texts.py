@@ -298,6 +298,29 @@ def test_shift_table_skips():
     assert sets[0].length == 12 and sets[0].shift.max() == 11 and (sets[0].shift == 0).sum() == 1
 
 
+def test_large_item_sets_still_skip():
+    """Two million words of items: a step moves by more than five words on average."""
+    rng = np.random.default_rng(1)
+    hashes = rng.integers(0, 1 << 63, 2_000_000).astype(np.uint64)
+    begin = np.arange(len(hashes) - 11)
+    patterns = leakage.PatternSet(12, hashes, begin, begin // 200)
+    text = np.concatenate([rng.integers(0, 1 << 63, 50_000).astype(np.uint64), hashes[1000:1012], rng.integers(0, 1 << 63, 50_000).astype(np.uint64)])
+    steps = [0, 0]
+    owner, item = patterns.search(text, np.array([0]), np.array([len(text)]), np.array([7]), steps)
+    assert owner.tolist() == [7] and item.tolist() == [5] and steps[1] / steps[0] > 5
+
+
+def test_common_suffixes_share_a_bucket():
+    """Many items that end in the same words: the bucket is compared from the first word on, in runs."""
+    tail = " ".join(WORDS[:8])
+    items = [f"w{i} x{i} y{i} z{i} {tail}" for i in range(3000)]
+    sets = leakage.pattern_sets(list(range(3000)), items)
+    codes, starts = decode(pa.array([" ".join(items[5:7] * 200)]))
+    _, _, hashes, owner = words(codes, starts)
+    got = sets[0].search(hashes, np.array([0]), np.array([len(hashes)]), np.array([0]))
+    assert set(got[1].tolist()) == {5, 6} and len(got[1]) == 400
+
+
 # --- repetition
 
 def brute_share(text):
