@@ -31,7 +31,7 @@ SAMPLE_PER_LIST, MOST_SAMPLE = 64, 262_144
 #: Lists from which on centroids have two levels, and cells of the upper level a vector looks into.
 TWO_LEVELS, CELLS = 512, 12
 #: Rows of a list that one task compares; longer lists are cut into blocks of about this size.
-TASK_ROWS = 8192
+TASK_ROWS = 16_384
 #: Bytes of vectors that one partition of lists should hold.
 PARTITION_BYTES = 8 << 20
 #: Width of a column block, and standard deviations an estimate must exceed the bound by.
