@@ -47,19 +47,23 @@ def _box_query(make):
     return query
 
 
-def _vector_query(*make):
+def _entries(df: DataFrame, vector) -> DataFrame:
+    """Every entry of every vector: vec_id, place, entry (six decimals)."""
+    return df.select("vec_id", F.posexplode(vector).alias("place", "entry")).select("vec_id", "place", F.round("entry", 6).alias("entry"))
+
+
+def _vector_query(make):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = table(spark, sf_dir, "embeddings").withColumn("scaled", F.transform("embedding", lambda x: x.cast("double") * 2))
-        return df.select("vec_id", *[c() for c in make])
+        return _entries(df, make())
 
     return query
 
 
 def pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each vector and its reverse as two token vectors, the second masked for even ids: norm and first component of the pooled one."""
+    """Each vector and its reverse as two token vectors, the second masked for even ids: all entries of the pooled one."""
     e = table(spark, sf_dir, "embeddings")
-    pool = vectors.mean_pool(F.array("embedding", F.reverse("embedding")), F.array(F.lit(1), (F.col("vec_id") % 2).cast("int")))
-    return e.select("vec_id", pool.alias("p")).select("vec_id", F.round(vectors.norm("p"), 6).alias("norm"), F.round(F.get("p", 0), 6).alias("first"))
+    return _entries(e, vectors.mean_pool(F.array("embedding", F.reverse("embedding")), F.array(F.lit(1), (F.col("vec_id") % 2).cast("int"))))
 
 
 def dimension_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,9 +88,9 @@ def ocr_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def record_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as typed records; texts over 3,000 characters are dropped."""
+    """Documents as typed records; texts over 65,535 characters are dropped."""
     d = _records(table(spark, sf_dir, "documents"))
-    return d.select("doc_id", F.length(text.record_text("document_type", "subtype", {"content": "text", "table_content": "text", "caption": "source", "image_text": "text", "audio_transcript": "text"}, ("text", "table", "image", "audio"), 3000, F.col("page_number").isNotNull())).alias("text_chars"))
+    return d.select("doc_id", F.length(text.record_text("document_type", "subtype", {"content": "text", "table_content": "text", "caption": "source", "image_text": "text", "audio_transcript": "text"}, ("text", "table", "image", "audio"), 65_535, F.col("page_number").isNotNull())).alias("text_chars"))
 
 
 def _records(d: DataFrame) -> DataFrame:
@@ -119,8 +123,7 @@ def embeddings_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = F.to_json("embedding")
     shape = F.pmod("vec_id", F.lit(4))
     raw = F.when(shape == 0, F.concat(F.lit('{"embedding": '), row, F.lit("}"))).when(shape == 1, F.concat(F.lit('{"embeddings": ['), row, F.lit("]}"))).when(shape == 2, F.concat(F.lit('{"last_hidden_state": [['), row, F.lit(", "), row, F.lit("]]}"))).otherwise(row)
-    v = vectors.embedding_from_json(raw)
-    return e.select("vec_id", F.size(v).alias("dimensions"), F.round(F.get(v, 5), 5).alias("sixth"))
+    return e.select("vec_id", F.posexplode(vectors.embedding_from_json(raw)).alias("place", "entry"))
 
 
 def overlays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,8 +172,8 @@ QUERIES = {
     "f4_graphic_count": _from("documents", "doc_id", lambda: labels.counts_as_graphic("document_type", F.pmod("doc_id", F.lit(4)).cast("int")).alias("graphic")),
     "f6_valid_box": _from("page_texts", "rec_id", lambda: F.size(F.filter("bboxes_xyxy_norm_in_page", boxes.valid_box)).alias("valid")),
     "f8_score_threshold": _from("lineitem", "l_orderkey", "l_linenumber", lambda: (F.col("l_quantity") / 50).alias("score"), where="l_quantity / 50 >= 0.5 OR l_quantity IS NULL"),
-    "v13_normalised": _vector_query(lambda: F.round(vectors.norm(vectors.normalised("scaled")), 6).alias("norm"), lambda: F.round(F.get(vectors.normalised("scaled"), 1), 6).alias("second")),
-    "v14_normalised_floor": _vector_query(lambda: F.round(vectors.norm(vectors.normalised("scaled", True)), 6).alias("norm"), lambda: F.round(F.get(vectors.normalised("scaled", True), 2), 6).alias("third")),
+    "v13_normalised": _vector_query(lambda: vectors.normalised("scaled")),
+    "v14_normalised_floor": _vector_query(lambda: vectors.normalised("scaled", True)),
     "a24_mean_pool": pooled,
     "s17_dimension_check": dimension_check,
 }
@@ -205,7 +208,7 @@ _U = r"'^[\s\x1c-\x1f\x{85}\p{Z}]+|[\s\x1c-\x1f\x{85}\p{Z}]+$'"
 SQL = {
     "t7_words_text": "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN source || ' b' ELSE source END AS words_text FROM documents",
     "t10_record_location": "SELECT doc_id, CASE WHEN document_type = 'structured' THEN CASE WHEN doc_id % 4 NOT IN (0, 2) THEN 't' || doc_id END WHEN document_type = 'image' THEN 'i' || doc_id END AS location FROM documents",
-    "v15_embedding_from_json": "SELECT vec_id, 64 AS dimensions, round(embedding[6]::DOUBLE, 5) AS sixth FROM embeddings",
+    "v15_embedding_from_json": "SELECT vec_id, CAST(i - 1 AS INTEGER) AS place, embedding[i]::VARCHAR::DOUBLE AS entry FROM embeddings, unnest(generate_series(1, 64)) AS g(i)",
     "k22_overlay_boxes": _pixels("round_even", (_W, _H), [f"b1 * {_W}, 0", f"b2 * {_H}, 0", f"b3 * {_W}, 0", f"b4 * {_H}, 0"]).replace("SELECT l_orderkey, l_linenumber, CAST", "SELECT l_orderkey, l_linenumber, score, CAST").replace("FROM lineitem)", ", CASE WHEN l_linenumber <> 3 THEN l_quantity / 50 END AS score FROM lineitem WHERE l_linenumber = 3 OR l_quantity IS NULL OR l_quantity / 50 >= 0.5)"),
     "g9_centred_canvas": "WITH s AS (SELECT page_id, least(1.0::DOUBLE, 1024::DOUBLE / height, 1024::DOUBLE / width) AS s, height AS h, width AS w FROM page_scans WHERE height IS NOT NULL AND width IS NOT NULL), n AS (SELECT page_id, CAST(greatest(1, round_even(h * s, 0)) AS INTEGER) AS height, CAST(greatest(1, round_even(w * s, 0)) AS INTEGER) AS width FROM s) SELECT page_id, height, width, CAST(floor((1024 - height) / 2) AS INTEGER) AS top, CAST(floor((1024 - width) / 2) AS INTEGER) AS left FROM n",
     "t1_page_key": rf"SELECT rec_id, coalesce(nullif(regexp_extract({_IMG}, '(?i)^(.+)_page(\d+)\.(png|jpg|jpeg)$', 1), ''), {_STEM}) AS doc, TRY_CAST(regexp_extract({_IMG}, '(?i)^(.+)_page(\d+)\.(png|jpg|jpeg)$', 2) AS INTEGER) AS page, {_IMG} AS image_name FROM page_texts",
@@ -217,15 +220,15 @@ SQL = {
     "pr9_embedding_stem": rf"SELECT vec_id, CASE WHEN {_BASE.format('path')} LIKE '%.embedding_results.pt' THEN replace({_BASE.format('path')}, '.embedding_results.pt', '') ELSE regexp_replace({_BASE.format('path')}, '\.[^.]*$', '') END AS stem FROM chunk_vectors",
     "pr10_preview": "WITH w AS (SELECT rec_id, replace(array_to_string(list_filter(texts, lambda x: x IS NOT NULL), ' '), chr(10), ' ') AS t FROM page_texts) SELECT rec_id, CASE WHEN length(t) > 200 THEN substr(t, 1, 200) || '…' ELSE t END AS preview FROM w",
     "pr12_artifact_paths": "SELECT rec_id, image_path || unnest(['.page_elements_v3.json', '.graphic_elements_v1.json', '.table_structure_v1.json', '.ocr_v1.json', '.embeddings.pt', '.embedder-input.txt', '.page_element_detections.png']) AS path FROM page_texts",
-    "t6_ocr_text": rf"""WITH d AS (SELECT doc_id, regexp_replace(regexp_replace(coalesce(regexp_replace(substr(text, 1, 40), '["\\\n\r\t]', ' ', 'g'), ''), {_U}, '', 'g'), {_U}, '', 'g') AS t FROM documents)
-SELECT doc_id, CASE doc_id % 5 WHEN 2 THEN CASE WHEN t = '' THEN '{{"text":"' || coalesce((SELECT regexp_replace(substr(text, 1, 40), '["\\\n\r\t]', ' ', 'g') FROM documents x WHERE x.doc_id = d.doc_id), '') || '"}} b' ELSE t || ' b' END
- WHEN 0 THEN CASE WHEN t = '' THEN '{{"text": "' || coalesce((SELECT regexp_replace(substr(text, 1, 40), '["\\\n\r\t]', ' ', 'g') FROM documents x WHERE x.doc_id = d.doc_id), '') || '"}}' ELSE t END
- WHEN 1 THEN CASE WHEN t = '' THEN '{{"text": "", "ocr_text": "' || coalesce((SELECT regexp_replace(substr(text, 1, 40), '["\\\n\r\t]', ' ', 'g') FROM documents x WHERE x.doc_id = d.doc_id), '') || '"}}' ELSE t END
- WHEN 3 THEN CASE WHEN t = '' THEN '{{"generated_text":"' || coalesce((SELECT regexp_replace(substr(text, 1, 40), '["\\\n\r\t]', ' ', 'g') FROM documents x WHERE x.doc_id = d.doc_id), '') || '"}}' ELSE t END ELSE t END AS ocr_text FROM d""",
+    "t6_ocr_text": rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS whole, regexp_replace(coalesce(text, ''), {_U}, '', 'g') AS t FROM documents)
+SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN CASE WHEN t = '' THEN CAST(to_json({{'text': whole}}) AS VARCHAR) ELSE t END
+ WHEN 1 THEN CASE WHEN t = '' THEN CAST(to_json({{'text': '', 'ocr_text': whole}}) AS VARCHAR) ELSE t END
+ WHEN 2 THEN CASE WHEN t = '' THEN CAST(to_json({{'text': whole}}) AS VARCHAR) ELSE t END || ' b'
+ WHEN 3 THEN CASE WHEN t = '' THEN CAST(to_json({{'generated_text': whole}}) AS VARCHAR) ELSE t END ELSE t END AS ocr_text FROM d""",
     "t9_record_text": """WITH d AS (SELECT *, ['chart', 'table', 'infographic', 'page_image'][doc_id % 4 + 1] AS subtype FROM documents),
 t AS (SELECT doc_id, page_number, CASE WHEN document_type = 'text' THEN text WHEN document_type = 'structured' THEN CASE WHEN subtype NOT IN ('chart', 'infographic') THEN text END
  WHEN document_type = 'image' THEN CASE WHEN subtype = 'page_image' THEN text ELSE source END WHEN document_type = 'audio' THEN text END AS t FROM d)
-SELECT doc_id, CASE WHEN length(t) BETWEEN 1 AND 3000 AND page_number IS NOT NULL THEN CAST(length(t) AS INTEGER) END AS text_chars FROM t""",
+SELECT doc_id, CASE WHEN length(t) BETWEEN 1 AND 65535 AND page_number IS NOT NULL THEN CAST(length(t) AS INTEGER) END AS text_chars FROM t""",
     "t11_metadata_cell": "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '[''' || coalesce(lang, '') || ''', ''x'']' WHEN 2 THEN lang END AS value, CASE doc_id % 3 WHEN 0 THEN 2 ELSE -1 END AS items FROM documents",
     "t12_report_page": "SELECT page_id, '## Page ' || (page_number + 1) || chr(10) || chr(10) || coalesce(text, '') AS section FROM page_scans",
     "t13_shortened": "SELECT doc_id, CASE WHEN length(text) > 60 THEN substr(text, 1, 60) || '...' ELSE text END AS short FROM documents",
@@ -249,8 +252,8 @@ SELECT doc_id, CASE WHEN length(t) BETWEEN 1 AND 3000 AND page_number IS NOT NUL
     "f4_graphic_count": "SELECT doc_id, CASE WHEN document_type IS NOT NULL THEN lower(trim(document_type)) IN ('chart', 'infographic') ELSE doc_id % 4 IN (1, 3) END AS graphic FROM documents",
     "f6_valid_box": "SELECT rec_id, CASE WHEN bboxes_xyxy_norm_in_page IS NULL THEN NULL ELSE CAST(len(list_filter(bboxes_xyxy_norm_in_page, lambda b: coalesce(len(b) = 4 AND len(list_filter(b, lambda x: x IS NULL)) = 0, false))) AS INTEGER) END AS valid FROM page_texts",
     "f8_score_threshold": "SELECT l_orderkey, l_linenumber, l_quantity / 50 AS score FROM lineitem WHERE l_quantity / 50 >= 0.5 OR l_quantity IS NULL",
-    "v13_normalised": _E + "SELECT vec_id, round(sqrt(list_inner_product(v, v)), 6) AS norm, round(v[2], 6) AS second FROM u",
-    "v14_normalised_floor": _E + "SELECT vec_id, round(sqrt(list_inner_product(v, v)), 6) AS norm, round(v[3], 6) AS third FROM u",
-    "a24_mean_pool": "WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS a, list_reverse(list_transform(embedding, lambda x: x::DOUBLE)) AS b FROM embeddings), m AS (SELECT vec_id, CASE WHEN vec_id % 2 = 0 THEN a ELSE list_transform(list_zip(a, b), lambda z: (z[1] + z[2]) / 2) END AS v FROM e) SELECT vec_id, 1.0::DOUBLE AS norm, round(v[1] / sqrt(list_inner_product(v, v)), 6) AS first FROM m",
+    "v13_normalised": _E + "SELECT vec_id, CAST(i - 1 AS INTEGER) AS place, round(v[i], 6) AS entry FROM u, unnest(generate_series(1, 64)) AS g(i)",
+    "v14_normalised_floor": _E + "SELECT vec_id, CAST(i - 1 AS INTEGER) AS place, round(v[i], 6) AS entry FROM u, unnest(generate_series(1, 64)) AS g(i)",
+    "a24_mean_pool": "WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS a, list_reverse(list_transform(embedding, lambda x: x::DOUBLE)) AS b FROM embeddings), m AS (SELECT vec_id, CASE WHEN vec_id % 2 = 0 THEN a ELSE list_transform(list_zip(a, b), lambda z: (z[1] + z[2]) / 2) END AS v FROM e) SELECT vec_id, CAST(i - 1 AS INTEGER) AS place, round(v[i] / sqrt(list_inner_product(v, v)), 6) AS entry FROM m, unnest(generate_series(1, 64)) AS g(i)",
     "s17_dimension_check": "SELECT count(DISTINCT len(vector)) AS dimensions, count(*) AS vectors, CAST(max(len(vector)) AS INTEGER) AS widest FROM chunk_vectors WHERE vector IS NOT NULL",
 }

@@ -10,13 +10,16 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DEFAULT: list[str] = []
-_WRITTEN: list[tuple[object, str]] = []
+_WRITTEN: list[tuple[SparkSession, str]] = []
 
 
 def build_session(app: str = "pagelathe", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,22 +38,36 @@ def build_session(app: str = "pagelathe", master: str | None = None, **conf: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local one is made only where it is unset."""
+    """The folder named by ``spark.checkpoint.dir``; a local one is made only where it is unset and executors are threads of this machine's driver."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share; a folder of one machine would lose rows")
     if not _LOCAL_DEFAULT:
         _LOCAL_DEFAULT.append("file://" + tempfile.mkdtemp(prefix="pagelathe-"))
     return _LOCAL_DEFAULT[0]
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder, removed when the Python process ends."""
+    """A fresh path under the shared folder, removed when the Python process ends or the ``temporary`` block around it does."""
     path = f"{shared_dir(spark)}/pagelathe/{os.getpid()}/{label}-{uuid.uuid4().hex[:12]}"
     _WRITTEN.append((spark, path))
     return path
 
 
+@contextmanager
+def temporary() -> Iterator[None]:
+    """Removes at its end all intermediate tables written within it. Results must be consumed (written, collected) before."""
+    before = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        written = _WRITTEN[before:]
+        del _WRITTEN[before:]
+        _remove(written)
+
+
 def cut(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: one computation, no lineage."""
     spark = df.sparkSession
@@ -60,9 +77,8 @@ def cut(df: DataFrame, label: str, partition_by: list[str] | None = None) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
-@atexit.register
-def _remove_written() -> None:
-    for spark, path in _WRITTEN:
+def _remove(written: list[tuple[SparkSession, str]]) -> None:
+    for spark, path in written:
         try:
             jvm = spark._jvm  # noqa: SLF001
             target = jvm.org.apache.hadoop.fs.Path(path)
@@ -71,6 +87,11 @@ def _remove_written() -> None:
             continue
 
 
+@atexit.register
+def _remove_written() -> None:
+    _remove(_WRITTEN)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the project's tables, by name."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
