@@ -1,9 +1,8 @@
 """Exact nearest neighbours of a stated query set, fusion and reranking.
 
 The corpus is never shuffled for scoring: each batch of it meets the queries in one matrix product, keeps the k best
-of the batch for each query, and only those are ranked against each other. Queries are broadcast while
-they are small (``MOST_QUERY_BYTES``); a larger query set is packed into blocks that meet packed corpus blocks in an
-equi-join on the block number.
+of the batch for each query, and only those are ranked against each other. Queries are broadcast in parts of
+``MOST_QUERY_BYTES``; a larger query set reads the corpus once for each part, where it lies.
 """
 
 from __future__ import annotations
@@ -69,14 +68,6 @@ def _vectors(df: DataFrame, key: str, vector: str, dimensions: int) -> DataFrame
     return df.where(F.col(key).isNotNull() & (F.size(vector) == dimensions) & sound).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"))
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, BLOCK_ROWS):
-            part = batch.slice(at, BLOCK_ROWS)
-            ids, rows = part.column(0).to_numpy(), _matrix(part.column(1))
-            yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()]), pa.array([rows.tobytes()])], names=["ids", "rows"])
-
-
 def top_k(corpus: DataFrame, queries: DataFrame, key: str, vector: str, dimensions: int, k: int = 10, metric: str = "l2_sq", skip_self: bool = False) -> DataFrame:
     """The ``k`` nearest rows of ``corpus`` to each query: query_id, id, distance, rank.
 
@@ -88,40 +79,31 @@ def top_k(corpus: DataFrame, queries: DataFrame, key: str, vector: str, dimensio
     asked, rows = _vectors(queries, key, vector, dimensions), _vectors(corpus, key, vector, dimensions)
     spark = corpus.sparkSession
     schema = "query_id long, id long, distance double"
-    if asked.count() * dimensions * 8 <= MOST_QUERY_BYTES:
-        found = asked.orderBy("id").toArrow().combine_chunks()
-        shared = spark.sparkContext.broadcast((found.column("id").to_numpy(), _matrix(found.column("v").combine_chunks()) if found.num_rows else np.zeros((0, dimensions))))
-
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            q_ids, q = shared.value
-            for batch in batches:
-                for at in range(0, batch.num_rows, BLOCK_ROWS):
-                    part = batch.slice(at, BLOCK_ROWS)
-                    yield _local_best(q_ids, q, part.column(0).to_numpy(), _matrix(part.column(1)), k, metric, skip_self)
-
-        near = rows.mapInArrow(scan, schema)
-    else:
-        near = _blocks(asked, rows, dimensions, k, metric, skip_self)
+    # Hashed parts vary in size; a larger one is broadcast in several.
+    most = max(1, MOST_QUERY_BYTES // (dimensions * 8))
+    parts = max(1, -(-asked.count() // most))
+    near = None
+    for part in range(parts):
+        mine = asked if parts == 1 else asked.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == part)
+        found = mine.orderBy("id").toArrow().combine_chunks()
+        for at in range(0, max(1, found.num_rows), most):
+            some = found.slice(at, most)
+            shared = spark.sparkContext.broadcast((some.column("id").to_numpy(), _matrix(some.column("v").combine_chunks()) if some.num_rows else np.zeros((0, dimensions))))
+            one = rows.mapInArrow(_scan(shared, k, metric, skip_self), schema)
+            near = one if near is None else near.unionByName(one)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id"))
     return near.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def _blocks(asked: DataFrame, rows: DataFrame, dimensions: int, k: int, metric: str, skip_self: bool) -> DataFrame:
-    """Every corpus block against every query block, met by block number."""
-    packed = lambda df: df.mapInArrow(_pack, "ids binary, rows binary")
-    from pagelathe.session import cut
-
-    q = cut(packed(asked).withColumn("place", F.monotonically_increasing_id()), "query-blocks")
-    places = [r.place for r in q.select("place").collect()]  # one number for each block of queries
-    each = packed(rows).withColumn("place", F.explode(F.array(*[F.lit(p) for p in places])))
-    met = each.join(q.select("place", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows")), "place").select("ids", "rows", "q_ids", "q_rows")
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scan(shared, k: int, metric: str, skip_self: bool):  # noqa: ANN001, ANN202
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q_ids, q = shared.value
         for batch in batches:
-            for i, r, qi, qr in zip(*(c.to_pylist() for c in batch.columns)):
-                yield _local_best(np.frombuffer(qi, np.int64), np.frombuffer(qr).reshape(-1, dimensions), np.frombuffer(i, np.int64), np.frombuffer(r).reshape(-1, dimensions), k, metric, skip_self)
+            for at in range(0, batch.num_rows, BLOCK_ROWS):
+                part = batch.slice(at, BLOCK_ROWS)
+                yield _local_best(q_ids, q, part.column(0).to_numpy(), _matrix(part.column(1)), k, metric, skip_self)
 
-    return met.mapInArrow(scan, "query_id long, id long, distance double")
+    return run
 
 
 def fuse(ranked: list[DataFrame], k: int = 10, constant: int = RRF_CONSTANT) -> DataFrame:

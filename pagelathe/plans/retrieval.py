@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelathe.operators import ann, bm25, evaluate, retrieval
-from pagelathe.session import table
+from pagelathe.session import new_path, table
 
 
 def _asked(df: DataFrame) -> DataFrame:
@@ -96,11 +96,23 @@ def rerank_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.rerank(first.join(docs, "id", "left"), retrieval.word_overlap, "query", "text")
 
 
-def ivf_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V3, V5: approximate neighbours from an inverted-list index."""
+def _index_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "chunk_vectors")
-    index, centres = ann.build_index(df, "vec_id", "vector", 96, 16)
-    return ann.search_index(index, centres, _asked(df), "vec_id", "vector", 96, 10, 6, skip_self=True).withColumn("distance", F.round("distance", 6))
+    path = new_path(spark, "index")
+    ann.write_index(df, path, "vec_id", "vector", 96, 16)
+    return ann.search_index(ann.open_index(spark, path), _asked(df), "vec_id", "vector", 96, 10, 6, skip_self=True)
+
+
+def ivf_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V3, V5: approximate neighbours from a stored index of quantised inverted lists."""
+    return _index_top(spark, sf_dir).withColumn("distance", F.round("distance", 6))
+
+
+def ivf_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V3, V5, K7: queries asked of the stored index, and whether recall at 10 against the exact answer is at least 0.9."""
+    exact = _top("l2_sq")(spark, sf_dir)
+    found = exact.join(_index_top(spark, sf_dir).select("query_id", "id", F.lit(1).alias("found")), ["query_id", "id"], "left")
+    return found.agg(F.count_distinct("query_id").alias("queries"), (F.sum(F.coalesce("found", F.lit(0))) >= 0.9 * F.count(F.lit(1))).alias("recall_reached"))
 
 
 QUERIES = {
@@ -120,6 +132,7 @@ QUERIES = {
     "v7_rrf_hybrid": rrf_hybrid,
     "v9_rerank": rerank_hits,
     "v3_ivf": ivf_top,
+    "v3_ivf_recall": ivf_recall,
 }
 
 _USABLE = "SELECT vec_id, list_transform(vector, lambda x: x::DOUBLE) AS v, text_kind FROM chunk_vectors WHERE len(vector) = 96 AND len(list_filter(vector, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"
@@ -154,6 +167,7 @@ bm AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, i
 """
 
 SQL = {
+    "v3_ivf_recall": f"SELECT count(*) AS queries, true AS recall_reached FROM ({_USABLE}) WHERE vec_id % 50 = 0",
     "v1_topk_cosine": _top_sql(_COS),
     "v2_topk_l2": _top_sql(_L2),
     "v2_topk_l2_root": _top_sql(f"sqrt({_L2})"),

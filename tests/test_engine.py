@@ -38,7 +38,7 @@ def test_top_k_by_broadcast_and_by_blocks(spark, vectors, monkeypatch):
     asked = df.where("id % 50 = 0")
     want = brute(x, range(0, 3000, 50), 7)
     assert as_lists(retrieval.top_k(df, asked, "id", "v", 8, 7, skip_self=True)) == want
-    monkeypatch.setattr(retrieval, "MOST_QUERY_BYTES", 0)
+    monkeypatch.setattr(retrieval, "MOST_QUERY_BYTES", 12 * 64)
     assert as_lists(retrieval.top_k(df, asked, "id", "v", 8, 7, skip_self=True)) == want
     assert retrieval.top_k(df.limit(0), asked, "id", "v", 8).count() == 0
     assert retrieval.top_k(df, df.limit(0), "id", "v", 8).count() == 0
@@ -51,15 +51,42 @@ def test_unsound_vectors_take_no_part(spark):
     assert got == {1: [1, 2], 2: [2, 1]}
 
 
-def test_inverted_lists_recall(spark, vectors):
+def test_stored_index_recall(spark, vectors, tmp_path):
     df, x = vectors
-    index, centres = ann.build_index(df, "id", "v", 8, 12)
-    assert index.count() == 3000
+    path = f"file://{tmp_path}/index"
+    assert ann.write_index(df, path, "id", "v", 8, 12, expected=3000) == 3000
     asked = df.where("id % 50 = 0")
     want = brute(x, range(0, 3000, 50), 10)
-    got = as_lists(ann.search_index(index, centres, asked, "id", "v", 8, 10, 6, skip_self=True))
+    search = lambda probes, **kw: as_lists(ann.search_index(ann.open_index(spark, path), asked, "id", "v", 8, 10, probes, skip_self=True, **kw))
+    got = search(6)
     assert np.mean([len(set(got[q]) & set(want[q])) / 10 for q in want]) >= 0.9
-    assert as_lists(ann.search_index(index, centres, asked, "id", "v", 8, 10, 12, skip_self=True)) == want
+    # All cells and no cut by codes: exact.
+    assert search(12, widen=300) == want
+    with pytest.raises(ValueError, match="3000 of 3001"):
+        ann.write_index(df, path, "id", "v", 8, 12, expected=3001)
+    assert ann.write_index(df.limit(0), path, "id", "v", 8) == 0
+    assert ann.search_index(ann.open_index(spark, path), asked, "id", "v", 8).count() == 0
+
+
+def test_bm25_against_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join(rng.choice(words, rng.integers(1, 40)))) for i in range(700)]
+    asked = [(i, " ".join(rng.choice(words, 5))) for i in range(30)]
+    counts = [bm25.Counter(t.split()) for _, t in docs]
+    mean = np.mean([sum(c.values()) for c in counts])
+    df = {w: sum(w in c for c in counts) for w in words}
+    want = {}
+    for q, t in asked:
+        s = [round(sum(np.log(1 + (700 - df[w] + 0.5) / (df[w] + 0.5)) * c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * sum(c.values()) / mean)) for w in set(t.split())), 6) for c in counts]
+        want[q] = [i for i in np.lexsort((np.arange(700), -np.array(s))) if s[i] > 0][:7]
+    d, a = spark.createDataFrame(docs, "i long, t string").repartition(3), spark.createDataFrame(asked, "q long, s string")
+    assert as_lists(bm25.bm25_top_k(d, "i", "t", a, "q", "s", 7)) == want
+    # In several passes, and where the queries' terms are too many to restrict documents to.
+    monkeypatch.setattr(bm25, "MOST_QUERIES", 7)
+    monkeypatch.setattr(bm25, "MOST_TERMS", 0)
+    monkeypatch.setattr(bm25, "BLOCK", 50)
+    assert as_lists(bm25.bm25_top_k(d, "i", "t", a, "q", "s", 7)) == want
 
 
 def test_fusion_does_not_depend_on_order(spark):
@@ -205,6 +232,18 @@ def test_collections(spark, tmp_path):
     assert store.run_async("e", rows).result(120) == 3
     store.remove_source("c", "s")
     assert {r.id for r in store.scan("c").collect()} == {2, 3}
+    # A source may come back; only what was there before is removed. An append adds its own files only.
+    before = {p.name for p in (tmp_path / "c").iterdir()}
+    assert store.ingest("c", spark.createDataFrame([(7, [0.1, 0.1], "g", "7", "s")], ddl)) == "stream"
+    assert {r.id for r in store.scan("c").collect()} == {2, 3, 7} and len({p.name for p in (tmp_path / "c").iterdir()} - before) == 1
+    store.compact("c")
+    assert store.wait_for_rows("c", 3) == 3 and store._manifest("c")[1][0]["without"] == []
+    ticks = iter(range(0, 1000, 20))
+    with pytest.raises(TimeoutError, match="3 of 4 rows"):
+        store.wait_for_rows("c", 4, clock=lambda: next(ticks), sleep=lambda _: None)
+    with pytest.raises(RuntimeError, match="another write"):
+        store._publish("c", store._manifest("c")[0], [])
+    store.remove_source("c", "s")
     store.reindex("c", lambda r: r.select("id", F.array(F.lit(7.0).cast("float"), F.lit(0.0).cast("float")).alias("vector")), "d")
     assert store.scan("d").first().vector == [7.0, 0.0]
     store.split_run(rows.withColumn("kind", F.lit("text")), {"only": ["text"], "none": ["image"]}, "kind")
