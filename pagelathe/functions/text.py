@@ -89,6 +89,12 @@ def shortened(c: Column | str, most: int = 80) -> Column:
     return F.when(F.length(c) > most, F.concat(F.left(c, F.lit(most)), F.lit("..."))).otherwise(F.col(c) if isinstance(c, str) else c)
 
 
+def joined_text(entries: Column | str) -> Column:
+    """Texts of an array of structs with a text, joined by blanks and stripped; a null text is empty, a null array null."""
+    c = F.col(entries) if isinstance(entries, str) else entries
+    return ustrip(F.array_join(F.transform(c, lambda e: F.coalesce(e["text"], F.lit(""))), " "))
+
+
 def _first_text(json: Column, keys: Sequence[str]) -> Column:
     found = [F.get_json_object(json, f"$.{k}") for k in keys]
     return F.coalesce(*[F.when(not_blank(x), ustrip(x)) for x in found])

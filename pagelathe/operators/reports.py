@@ -103,10 +103,14 @@ def batch_histogram(metrics: DataFrame, models: str = "models") -> DataFrame:
 ACCURACY = 10_000
 
 
-def exact_percentiles(df: DataFrame, by: Sequence[str], value: Column | str, at: Sequence[float]) -> DataFrame:
+#: Parts that the values of a group are spread over where they meet their bands.
+SALTS = 32
+
+
+def exact_percentiles(df: DataFrame, by: Sequence[str], value: Column | str, at: Sequence[float], also: Sequence[Column] = ()) -> DataFrame:
     """Exact percentiles, interpolated at (n - 1) * p, of each group: the ``by`` columns, n and the array percentiles (in order of ``at``).
 
-    No task holds a group: a mergeable summary bounds where each percentile lies, values outside these bands are only counted, and the distinct values in a
+    ``also`` are aggregates over the values (column ``__v``) that come along. No task holds a group: a mergeable summary bounds where each percentile lies, values outside these bands are only counted, and the distinct values in a
     band, a few ten-thousandths of the group, are ordered. Null and NaN values do not count; a null key is a key.
     """
     c = F.col(value) if isinstance(value, str) else value
@@ -114,7 +118,7 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: Column | str, at:
     eps = 2.0 / ACCURACY
     low, high = ([min(1.0, max(0.0, p + sign * eps)) for p in at] for sign in (-1, 1))
     near = lambda ps: F.percentile_approx("__v", F.array(*[F.lit(p) for p in ps]), F.lit(ACCURACY))
-    bound = kept.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("__min"), F.max("__v").alias("__max"), near(low).alias("__low"), near(high).alias("__high"))
+    bound = kept.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("__min"), F.max("__v").alias("__max"), near(low).alias("__low"), near(high).alias("__high"), F.struct(F.lit(0).alias("_"), *also).alias("__also"))
     # In a small group a rank is wider than the summary's error, so all its values are its band.
     small = F.col("n") <= 4 * ACCURACY
     bands = F.array(*[
@@ -122,32 +126,31 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: Column | str, at:
         for i, p in enumerate(at)
     ])
     keys = [f"__k{i}" for i in range(len(by))]
-    bound = bound.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], "n", F.explode(bands).alias("b"))
-    same = F.lit(True)
+    bound = bound.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], "n", "__also", F.explode(bands).alias("b"))
+    # Bands are few and stand in every part; values of a hot group are spread over the parts, whatever kind of join is taken.
+    bound = bound.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    kept = kept.withColumn("__salt", F.pmod(F.xxhash64("__v", F.spark_partition_id()), F.lit(SALTS)).cast("int"))
+    same = F.col("__salt") == F.col("__part")
     for b, k in zip(by, keys):
         same = same & F.col(b).eqNullSafe(F.col(k))
     met = kept.join(bound, same).where(F.col("__v") <= F.col("b.high"))
     # All values below a band fall together into one row of counts.
     place = F.when(F.col("__v") >= F.col("b.low"), F.col("__v"))
-    counted = met.groupBy(*by, "n", F.col("b.i").alias("i"), F.col("b.p").alias("p"), place.alias("v")).agg(F.count(F.lit(1)).alias("m"))
+    counted = met.groupBy(*by, "n", F.col("b.i").alias("i"), F.col("b.p").alias("p"), place.alias("v")).agg(F.count(F.lit(1)).alias("m"), F.any_value("__also").alias("__also"))
     upto = F.sum("m").over(Window.partitionBy(*by, "i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
     rank = F.col("p") * (F.col("n") - 1)
     first = lambda r: F.min(F.when(F.col("v").isNotNull() & (F.col("__upto") > r), F.col("v")))
-    found = counted.withColumn("__upto", upto).groupBy(*by, "n", "i", "p").agg(first(F.floor(rank)).alias("a"), first(F.ceil(rank)).alias("z"))
+    found = counted.withColumn("__upto", upto).groupBy(*by, "n", "i", "p").agg(first(F.floor(rank)).alias("a"), first(F.ceil(rank)).alias("z"), F.any_value("__also").alias("__also"))
     exact = F.col("a") + (F.col("z") - F.col("a")) * (rank - F.floor(rank))
-    return found.groupBy(*by, "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", exact.alias("x")))), lambda r: r["x"]).alias("percentiles"))
+    return found.groupBy(*by, "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", exact.alias("x")))), lambda r: r["x"]).alias("percentiles"), F.any_value("__also").alias("__also")).select(*by, "n", "percentiles", *[F.col("__also")[f].alias(f) for f in bound.schema["__also"].dataType.names[1:]])
 
 
 def latency(df: DataFrame, by: Sequence[str], value: Column | str) -> DataFrame:
     """N, p50, p90, p99 (interpolated at (n - 1) * p), mean and sample deviation (0 for one value), rounded."""
     c = F.col(value) if isinstance(value, str) else value
-    quantiles = exact_percentiles(df, by, value, (0.5, 0.9, 0.99))
-    keys = [f"__k{i}" for i in range(len(by))]
-    moments = df.where(c.isNotNull() & ~F.isnan(c)).groupBy(*[F.col(b).alias(k) for b, k in zip(by, keys)]).agg(F.round(F.avg(c), 9).alias("mean"), F.round(F.coalesce(F.stddev_samp(c), F.lit(0.0)), 6).alias("deviation"))
-    same = F.lit(True)
-    for b, k in zip(by, keys):
-        same = same & F.col(b).eqNullSafe(F.col(k))
-    return quantiles.join(moments, same).select(*by, "n", *[F.round(F.get("percentiles", i), 6).alias(f"p{p}") for i, p in enumerate((50, 90, 99))], "mean", "deviation")
+    moments = (F.round(F.avg("__v"), 9).alias("mean"), F.round(F.coalesce(F.stddev_samp("__v"), F.lit(0.0)), 6).alias("deviation"))
+    found = exact_percentiles(df, by, c, (0.5, 0.9, 0.99), moments)
+    return found.select(*by, "n", *[F.round(F.get("percentiles", i), 6).alias(f"p{p}") for i, p in enumerate((50, 90, 99))], "mean", "deviation")
 
 
 def throughput(count: Column, seconds: Column) -> Column:
@@ -190,3 +193,28 @@ def sizes_by_kind(files: DataFrame, kind: Column) -> DataFrame:
 def run_summary(runs: DataFrame, by: Sequence[str], ok: Column, seconds: Column) -> DataFrame:
     """Runs, successes, failures, and mean seconds of the successful."""
     return runs.groupBy(*by).agg(F.count(F.lit(1)).alias("runs"), F.count_if(ok).alias("succeeded"), F.count_if(~ok).alias("failed"), F.round(F.avg(F.when(ok, seconds)), 9).alias("mean_seconds"))
+
+
+def run_report(metrics: DataFrame, model: str) -> DataFrame:
+    """One row on a run of ``model``: pages, processed, skipped and failed pages, crops and batches processed, seconds, crops a second (0 if no time passed), wall seconds.
+
+    ``metrics`` has errors, models and wall_s of each page. A page with errors failed, one the model did not run on was skipped.
+    """
+    m = F.try_element_at("models", F.lit(model))
+    failed = F.coalesce(F.size("errors"), F.lit(0)) > 0
+    number = lambda c: F.nanvl(F.coalesce(c, F.lit(0.0)), F.lit(0.0))
+    total = metrics.agg(
+        F.count(F.lit(1)).alias("pages"), F.count_if(~failed & m.isNotNull()).alias("processed_pages"), F.count_if(~failed & m.isNull()).alias("skipped_pages"), F.count_if(failed).alias("failed_pages"),
+        F.coalesce(F.sum(m["items"]), F.lit(0)).alias("processed_crops"), F.coalesce(F.sum(m["calls"]), F.lit(0)).alias("processed_batches"), F.coalesce(F.sum(number(m["seconds"])), F.lit(0.0)).alias("seconds"), F.coalesce(F.sum(number(F.col("wall_s"))), F.lit(0.0)).alias("wall_s"),
+    )
+    rate = throughput(F.col("processed_crops"), F.round("seconds", 4))
+    return total.select(F.lit(model).alias("model"), "pages", "processed_pages", "skipped_pages", "failed_pages", "processed_crops", "processed_batches", F.round("seconds", 4).alias("seconds"), rate.alias("crops_per_second"), F.round("wall_s", 4).alias("wall_s"))
+
+
+def run_hotspots(metrics: DataFrame, models: int = 10, components: int = 15) -> DataFrame:
+    """The summary of a run as rows: part (model or component), place (from 1), name, seconds, calls, items; slowest first, equal ones by name."""
+    order = lambda: Window.partitionBy("part").orderBy(F.desc("seconds"), "name")
+    both = model_totals(metrics).select(F.lit("model").alias("part"), F.col("model").alias("name"), "seconds", "calls", "items")
+    both = both.unionByName(component_totals(metrics).select(F.lit("component").alias("part"), F.col("component").alias("name"), "seconds"), allowMissingColumns=True)
+    ranked = both.withColumn("place", F.row_number().over(order()))
+    return ranked.where(((F.col("part") == "model") & (F.col("place") <= models)) | ((F.col("part") == "component") & (F.col("place") <= components))).select("part", "place", "name", "seconds", "calls", "items")

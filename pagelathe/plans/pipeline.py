@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelathe.functions import text
-from pagelathe.operators import chunks, collections, models, reports, resolve
+from pagelathe.operators import chunks, collections, detections, models, reports, resolve
+from pagelathe.operators.records import tagged_table, write_tagged
 from pagelathe.session import new_path, table
 from pagelathe.sources import readers, sinks
 from pagelathe.streaming import ingest
@@ -232,7 +233,42 @@ def star_join(s: SparkSession, d: str) -> DataFrame:
     return whole.groupBy("n_name").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
 
 
+def collection_rows(s: SparkSession, d: str) -> DataFrame:
+    """Documents as ingest records (every seventh without embedding), cleaned to collection rows."""
+    kinds = F.element_at(F.array(F.lit("chart"), F.lit("table"), F.lit("infographic"), F.lit("page_image")), (F.pmod("doc_id", F.lit(4)) + 1).cast("int"))
+    vector = F.when(F.pmod("doc_id", F.lit(7)) != 0, F.array(F.col("page_number").cast("float"), F.lit(1.0).cast("float")))
+    held = lambda name, value: F.struct(F.col(value).alias(name))
+    metadata = F.struct(
+        F.col("text").alias("content"), held("table_content", "text").alias("table_metadata"), F.struct(F.col("source").alias("caption"), F.col("text").alias("text")).alias("image_metadata"), held("audio_transcript", "text").alias("audio_metadata"),
+        vector.alias("embedding"), held("source_name", "source").alias("source_metadata"), F.struct(kinds.alias("subtype"), "doc_id", "page_number").alias("content_metadata"),
+    )
+    rows = chunks.clean_records(_docs(s, d).select("document_type", metadata.alias("metadata")), ("text", "table", "image", "audio"))
+    return rows.select("content_metadata.doc_id", F.length("text").alias("chars"), F.size("vector").alias("dimensions"), F.col("source.source_name").alias("source_name"), "content_metadata.page_number")
+
+
+def ingest_records(s: SparkSession, d: str) -> DataFrame:
+    """P5: collection rows read back as ingest records."""
+    rows = table(s, d, "chunk_vectors").select("vector", F.col("text_kind").alias("text"), F.col("vec_id").cast("string").alias("metadata"), "source")
+    r = chunks.to_records(rows)
+    return r.select("document_type", F.col("metadata.content").alias("content"), F.size("metadata.embedding").alias("dimensions"), F.col("metadata.source_metadata.source_name").alias("source_name"), F.col("metadata.content_metadata.page_number").alias("number"))
+
+
+def kept_detections(s: SparkSession, d: str) -> DataFrame:
+    """Detections of every sidecar that stay after the threshold and the suppression of overlaps, by position in their region."""
+    found = tagged_table(write_tagged(_sidecars(s, d), "sidecar_id", "payload"), "detection", "sidecar_id")
+    each = F.array_sort(F.collect_list(F.struct("det_no", F.col("bbox_in_region").alias("box"), "label", "score")))
+    rows = found.groupBy("sidecar_id", "record_no", "region_no").agg(each.alias("e"))
+    part = lambda name: F.transform("e", lambda x: x[name])
+    return detections.suppress(rows, ["sidecar_id", "record_no", "region_no"], part("box"), part("label"), part("score"), "graphic_elements")
+
+
 QUERIES = {
+    "t8_joined_text": lambda s, d: _pages(s, d).select("rec_id", text.joined_text(F.transform("texts", lambda t: F.struct(t.alias("text")))).alias("joined")),
+    "k17_run_report": lambda s, d: reports.run_report(_metrics(s, d), "nemotron_ocr_v1"),
+    "k18_hotspots": lambda s, d: reports.run_hotspots(_metrics(s, d)),
+    "pr3_collection_rows": collection_rows,
+    "pr5_ingest_records": ingest_records,
+    "n2_kept_detections": kept_detections,
     "x3_ocr_tasks": ocr_tasks,
     "x4_chunks": lambda s, d: chunks.assemble(_pages(s, d), "rec_id", _first(), _rest()),
     "x5_flatten": lambda s, d: chunks.flatten_records(_pages(s, d).select(F.array(F.transform("texts", lambda t: F.struct(t.alias("text"))), F.lit(None)).alias("nested")), "nested").groupBy(F.length("text").alias("chars")).agg(F.count(F.lit(1)).alias("n")),
@@ -325,6 +361,25 @@ _LAT = "SELECT {by}, count(*) AS n, round(quantile_cont({v}, 0.5), 6) AS p50, ro
 _K = "pdf_path || '#' || page_index"
 
 SQL = {
+    "t8_joined_text": r"SELECT rec_id, regexp_replace(array_to_string(list_transform(texts, lambda x: coalesce(x, '')), ' '), '^[\s\x1c-\x1f\x{85}\p{Z}]+|[\s\x1c-\x1f\x{85}\p{Z}]+$', '', 'g') AS joined FROM page_texts",
+    "k17_run_report": """
+WITH m AS (SELECT coalesce(len(errors), 0) > 0 AS bad, models['nemotron_ocr_v1'] AS m, CASE WHEN wall_s IS NULL OR isnan(wall_s) THEN 0 ELSE wall_s END AS w FROM page_metrics),
+t AS (SELECT count(*) AS pages, count(*) FILTER (NOT bad AND m IS NOT NULL) AS processed_pages, count(*) FILTER (NOT bad AND m IS NULL) AS skipped_pages, count(*) FILTER (bad) AS failed_pages,
+  coalesce(sum(m.items), 0) AS processed_crops, coalesce(sum(m.calls), 0) AS processed_batches, coalesce(sum(CASE WHEN m.seconds IS NULL OR isnan(m.seconds) THEN 0 ELSE m.seconds END), 0) AS s, sum(w) AS w FROM m)
+SELECT 'nemotron_ocr_v1' AS model, pages, processed_pages, skipped_pages, failed_pages, CAST(processed_crops AS BIGINT) AS processed_crops, CAST(processed_batches AS BIGINT) AS processed_batches, round(s, 4) AS seconds,
+  CASE WHEN round(s, 4) = 0 THEN 0.0::DOUBLE ELSE round(processed_crops / round(s, 4), 6) END AS crops_per_second, round(w, 4) AS wall_s FROM t""",
+    "k18_hotspots": """
+WITH e AS (SELECT unnest(map_keys(models)) AS name, unnest(map_values(models)) AS m FROM page_metrics), c AS (SELECT unnest(map_keys(timing_s)) AS name, unnest(map_values(timing_s)) AS v FROM page_metrics),
+t AS (SELECT 'model' AS part, name, round(sum(CASE WHEN m.seconds IS NULL OR isnan(m.seconds) THEN 0 ELSE m.seconds END), 4) AS seconds, CAST(sum(coalesce(m.calls, 0)) AS BIGINT) AS calls, CAST(sum(coalesce(m.items, 0)) AS BIGINT) AS items FROM e GROUP BY name
+  UNION ALL SELECT 'component', name, round(sum(CASE WHEN v IS NULL OR isnan(v) THEN 0 ELSE v END), 4), NULL, NULL FROM c GROUP BY name),
+r AS (SELECT part, CAST(row_number() OVER (PARTITION BY part ORDER BY seconds DESC, name) AS INTEGER) AS place, name, seconds, calls, items FROM t)
+SELECT * FROM r WHERE place <= CASE part WHEN 'model' THEN 10 ELSE 15 END""",
+    "pr3_collection_rows": """
+WITH d AS (SELECT *, ['chart', 'table', 'infographic', 'page_image'][doc_id % 4 + 1] AS subtype FROM documents),
+t AS (SELECT doc_id, page_number, source, CASE WHEN document_type = 'text' THEN text WHEN document_type = 'structured' THEN CASE WHEN subtype NOT IN ('chart', 'infographic') THEN text END
+ WHEN document_type = 'image' THEN CASE WHEN subtype = 'page_image' THEN text ELSE source END WHEN document_type = 'audio' THEN text END AS t FROM d)
+SELECT doc_id, CAST(length(t) AS INTEGER) AS chars, 2 AS dimensions, source AS source_name, page_number FROM t WHERE length(t) BETWEEN 1 AND 65535 AND doc_id % 7 <> 0""",
+    "pr5_ingest_records": "SELECT 'text' AS document_type, text_kind AS content, coalesce(CAST(len(vector) AS INTEGER), NULL) AS dimensions, source AS source_name, CAST(vec_id AS INTEGER) AS number FROM chunk_vectors",
     "x3_ocr_tasks": "SELECT l_orderkey, l_linenumber % 6 AS label, l_quantity AS score FROM lineitem WHERE (l_linenumber % 6 IN (0, 1, 3) OR l_linenumber % 2 = 0) AND l_linenumber % 3 <> 0",
     "x4_chunks": _CH + "SELECT rec_id, CAST(chunk_no AS INTEGER) AS chunk_no, text_kind, text FROM c",
     "x5_flatten": "SELECT CAST(length(t) AS INTEGER) AS chars, count(*) AS n FROM (SELECT unnest(texts) AS t FROM page_texts) GROUP BY 1",

@@ -56,6 +56,45 @@ def removable(files: DataFrame, stage: Column, least: int) -> DataFrame:
     return files.withColumn("stage", stage).where(F.col("stage") >= least).groupBy("stage").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
 
 
+def remove_outputs(files: DataFrame, stage: Column, least: int, force: bool = False) -> int:
+    """Delete the files (path) of stage ``least`` and above; how many. Without ``force`` nothing is deleted and an error tells how many files and bytes it would be.
+
+    Paths come to the driver a partition at a time. A file that is gone already counts as none.
+    """
+    doomed = files.where(stage >= least)
+    if not force:
+        would = doomed.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
+        raise ValueError(f"{would.files} files of {would.bytes} bytes would be deleted; force does it")
+    spark, gone = files.sparkSession, 0
+    for row in doomed.select("path").toLocalIterator():
+        target = spark._jvm.org.apache.hadoop.fs.Path(row.path)  # noqa: SLF001
+        gone += bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, False))  # noqa: SLF001
+    return gone
+
+
+def summary_lines(hotspots: DataFrame, pdfs: int, pages: int) -> list[str]:
+    """The lines of a run's summary, from ``reports.run_hotspots`` (a few dozen rows)."""
+    rows = hotspots.orderBy("part", "place").collect()
+    rate = lambda seconds, n: seconds / n if n else 0.0
+    lines = ["Summary of the run", f"pdfs={pdfs} pages={pages}", "", "Models by seconds:"]
+    lines += [f"- {r.name}: seconds={r.seconds:.2f} calls={r.calls} items={r.items} per_call_s={rate(r.seconds, r.calls):.3f} per_item_s={rate(r.seconds, r['items']):.6f}" for r in rows if r.part == "model"]
+    return [*lines, "", "Components by seconds:", *(f"- {r.name}: {r.seconds:.2f}s" for r in rows if r.part == "component")]
+
+
+def write_pages(pages: DataFrame, path: str) -> int:
+    """K2: image and text of each page (path, page_number, image, text), as a table; pages that stand there already are left out. How many were written."""
+    spark = pages.sparkSession
+    new = pages.where("error IS NULL").select("path", "page_number", "image", "text")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    before = 0
+    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):  # noqa: SLF001
+        there = spark.read.parquet(path).select("path", "page_number")
+        before = there.count()
+        new = new.join(there, ["path", "page_number"], "left_anti")
+    new.write.mode("append").parquet(path)
+    return spark.read.parquet(path).count() - before
+
+
 def write_bundle(files: DataFrame, path: str, most_bytes: int = 1 << 30) -> int:
     """Files (name, content) and a manifest in one zip on the driver; how many. Beyond ``most_bytes`` it refuses before reading contents."""
     import zipfile

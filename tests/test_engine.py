@@ -187,7 +187,13 @@ def test_media_seam(spark):
     files = spark.createDataFrame([("a", bytearray(b"ok")), ("b", bytearray(b"bad"))], "path string, content binary")
     rows = {r.path: r for r in media.render_pages(files, backend).collect()}
     assert rows["a"].text == "t" and rows["b"].error == "ValueError: broken"
-    assert {r.path: r.pages for r in media.page_counts(files, backend).collect()} == {"a": 1, "b": 0}
+    assert {r.path: r.pages for r in media.page_counts(files, lambda content: len(list(backend(content)))).collect()} == {"a": 1, "b": 0}
+    def layout(content):
+        for page in backend(content):
+            yield {"page_number": page["page_number"], "title": "t", "width": 612.0, "fonts": ["Sans"], "images": 2}
+
+    rows = {r.path: r for r in media.page_layouts(files, layout).collect()}
+    assert (rows["a"].title, rows["a"].width, rows["a"].fonts, rows["a"].images, rows["a"].links) == ("t", 612.0, ["Sans"], 2, None) and rows["b"].error
     assert media.available() in (True, False)
 
 
@@ -295,3 +301,127 @@ def test_bundle_tree_images_and_devices(spark, tmp_path):
     assert models.device_list("all", 2) == [0, 1] and models.device_list("1,0,1", 2) == [1, 0]
     with pytest.raises(ValueError):
         models.device_list("2", 2)
+
+
+def test_pixels_of_pngs_and_drawing():
+    import base64
+    import struct
+    import zlib
+
+    rng = np.random.default_rng(0)
+    for channels in (1, 3):
+        image = rng.integers(0, 256, (channels, 7, 5)).astype(np.uint8)
+        assert (media.png_pixels(base64.b64decode(media.png_base64(image))) == image).all()
+    # All filters, with alpha.
+    pixels = rng.integers(0, 256, (5, 6, 4)).astype(np.int32)
+    rows = []
+    for y in range(5):
+        up = pixels[y - 1] if y else np.zeros((6, 4), np.int32)
+        line = pixels[y]
+        left = np.concatenate([np.zeros((1, 4), np.int32), line[:-1]])
+        corner = np.concatenate([np.zeros((1, 4), np.int32), up[:-1]])
+        p = left + up - corner
+        a, b, c = abs(p - left), abs(p - up), abs(p - corner)
+        guess = [0, left, up, (left + up) // 2, np.where((a <= b) & (a <= c), left, np.where(b <= c, up, corner))][y]
+        rows.append(bytes([y]) + ((line - guess) & 255).astype(np.uint8).tobytes())
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    png = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", 6, 5, 8, 6, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(b"".join(rows))) + chunk(b"IEND", b"")
+    assert (media.png_pixels(png) == pixels[..., :3].transpose(2, 0, 1)).all()
+    with pytest.raises(ValueError):
+        media.png_pixels(b"x")
+    drawn = media.drawn_boxes(np.zeros((3, 10, 10), np.uint8), [[2, 3, 7, 8]], [(9, 8, 7)], 1)
+    assert drawn[:, 3, 2].tolist() == [9, 8, 7] and drawn[0, 4, 3] == 0 and drawn[0].sum() == 9 * 16
+    canvas = media.on_canvas(np.zeros((3, 4, 8), np.uint8), (4, 4))
+    assert canvas.shape == (3, 4, 4) and (canvas[:, 1:3] == 0).all() and (canvas[:, 0] == 255).all()
+
+
+def test_suppression_of_overlaps(spark):
+    from pagelathe.operators import detections
+
+    box = [[0.0, 0.0, 1.0, 1.0], [0.0, 0.0, 0.9, 1.0], [0.0, 0.0, 0.9, 1.0], [0.5, 0.5, 0.6, 0.6], [0.0, 0.0, 1.0], [0.2, 0.2, 0.3, 0.3]]
+    rows = [(1, box, [0, 0, 1, 0, 0, 0], [0.5, 0.9, 0.4, 0.9, 0.8, 0.001]), (2, None, None, None), (3, [], [], []), (4, box[:1] * 3, [None, None, 2], [0.2, None, float("nan")])]
+    df = spark.createDataFrame(rows, "k long, b array<array<double>>, l array<int>, s array<double>").withColumn("place", F.lit("clash"))
+    got = {(r.k, r.place, r["rank"]) for r in detections.suppress(df, "k", "b", "l", "s", "page_elements").collect()}
+    assert got == {(1, 1, 0), (1, 3, 1), (1, 2, 2), (4, 0, 0)}
+    assert detections.suppress(df.limit(0), "k", "b", "l", "s").count() == 0
+
+
+def test_run_reports_and_clean_up(spark, tmp_path):
+    metrics = spark.createDataFrame([({"m": (2, 1.5, 8)}, {"a": 1.0}, [], 3.0), (None, None, ["x"], float("nan")), ({"m": (1, None, 4)}, {"a": float("nan"), "b": 2.0}, None, None), ({}, {}, [], 1.0)], "models map<string,struct<calls:int,seconds:double,items:int>>, timing_s map<string,double>, errors array<string>, wall_s double")
+    r = reports.run_report(metrics, "m").first()
+    assert (r.pages, r.processed_pages, r.skipped_pages, r.failed_pages, r.processed_crops, r.processed_batches, r.seconds, r.crops_per_second, r.wall_s) == (4, 2, 1, 1, 12, 3, 1.5, 8.0, 4.0)
+    assert reports.run_report(metrics.limit(0), "m").first().crops_per_second == 0.0
+    lines = sinks.summary_lines(reports.run_hotspots(metrics), 1, 4)
+    assert lines[1] == "pdfs=1 pages=4" and "- m: seconds=1.50 calls=3 items=12 per_call_s=0.500 per_item_s=0.125000" in lines and lines[-2:] == ["- b: 2.00s", "- a: 1.00s"]
+    for n in range(4):
+        (tmp_path / f"f{n}").write_text("x" * n)
+    files = spark.createDataFrame([(f"file://{tmp_path}/f{n}", n, n) for n in range(4)], "path string, length long, stage int")
+    with pytest.raises(ValueError, match="2 files of 5 bytes"):
+        sinks.remove_outputs(files, F.col("stage"), 2)
+    assert sinks.remove_outputs(files, F.col("stage"), 2, force=True) == 2 and sorted(p.name for p in tmp_path.iterdir() if p.name.startswith("f")) == ["f0", "f1"]
+    assert sinks.remove_outputs(files, F.col("stage"), 2, force=True) == 0
+    pages = spark.createDataFrame([("a", 0, b"i", "t", None), ("a", 1, b"j", "u", None), ("b", None, None, None, "bad")], "path string, page_number int, image binary, text string, error string")
+    out = f"file://{tmp_path}/pages"
+    assert sinks.write_pages(pages.limit(1), out) == 1 and sinks.write_pages(pages, out) == 1 and sinks.write_pages(pages, out) == 0
+
+
+def test_plain_writers_and_http(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a", [0.5])], "id long, doc string, embedding array<double>")
+    sinks.write_json(rows, f"file://{tmp_path}/j")
+    sinks.write_embeddings(rows, f"file://{tmp_path}/e")
+    assert spark.read.json(f"file://{tmp_path}/j").first().doc == "a" and spark.read.parquet(f"file://{tmp_path}/e").first().doc == "a"
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))["input"]
+            body = json.dumps({"data": asked[: len(asked) - (asked[0] == "short")]}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        call = models.HttpBackend(f"127.0.0.1:{server.server_port}")
+        assert call(["a", "b"]) == ["a", "b"]
+        with pytest.raises(ValueError, match="1 results for 2"):
+            call(["short", "b"])
+    finally:
+        server.shutdown()
+
+
+def test_intermediate_tables_go_and_clusters_need_a_shared_folder(spark, monkeypatch):
+    from pagelathe import session
+
+    with session.temporary():
+        held = session.cut(spark.range(5), "probe")
+        path = session._WRITTEN[-1][1]
+        assert held.count() == 5
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()
+
+    class Cluster:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="share"):
+        session.shared_dir(Cluster)
+    Cluster.sparkContext.master = "local-cluster[2,1,1024]"
+    with pytest.raises(ValueError, match="share"):
+        session.shared_dir(Cluster)
+
+
+def test_record_text_drops_very_long_texts(spark):
+    from pagelathe.functions import text
+
+    df = spark.createDataFrame([(65_535,), (65_536,)], "n int").selectExpr("n", "repeat('x', n) AS t", "'text' AS kind", "cast(null as string) AS subtype")
+    got = {r.n: r.chars for r in df.select("n", F.length(text.record_text("kind", "subtype", {"content": "t", "table_content": "t", "caption": "t", "image_text": "t", "audio_transcript": "t"}, ("text",))).alias("chars")).collect()}
+    assert got == {65_535: 65_535, 65_536: None}
