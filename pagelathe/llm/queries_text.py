@@ -50,6 +50,34 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.where("piece_no = 0").select("rec_id", "text_no", "forced").distinct()
 
 
+def p7_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the pieces of every text over 2,000 characters: its length, and whether they join to it, keep the limit and overlap by 200."""
+    pieces = p7_pieces(spark, sf_dir)
+    part = F.struct("piece_no", "char_begin", "char_end", "piece")
+    held = pieces.groupBy("rec_id", "text_no").agg(F.array_sort(F.collect_list(part)).alias("p"))
+    texts = table(spark, sf_dir, "page_texts").select("rec_id", F.posexplode("texts").alias("text_no", "text"))
+    whole = F.array_join(F.transform("p", lambda x: F.when(x["piece_no"] == 0, x["piece"]).otherwise(F.substr(x["piece"], F.lit(201)))), "")
+    limited = F.forall("p", lambda x: (F.length(x["piece"]) <= 2000) & (x["char_end"] - x["char_begin"] == F.length(x["piece"])))
+    steps = F.forall(F.sequence(F.lit(1), F.size("p") - 1), lambda i: F.get("p", i)["char_begin"] == F.get("p", i - 1)["char_end"] - 200)
+    checked = held.join(texts, ["rec_id", "text_no"]).select("rec_id", "text_no", F.length("text").alias("chars"), (whole == F.col("text")).alias("joined"), limited.alias("limited"), steps.alias("overlapping"))
+    return checked.distinct()
+
+
+def p8_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the containers: items and tokens in all, fullest container, documents in several pieces; and whether containers are at most 1 % more than the room needs, beside one open container."""
+    bins = cut(p8_bins(spark, sf_dir), "bins")
+    used = bins.groupBy("lot", "bin_no").agg(F.sum("size").alias("used"))
+    room = used.agg(F.max("used").alias("fullest"), (F.count(F.lit(1)) <= 1.01 * F.ceil(F.sum("used") / 1024) + 1).alias("tight"))
+    items = bins.agg(F.count_if(F.col("piece_no") == 0).alias("documents"), F.sum("size").alias("tokens"), F.count_if((F.col("piece_no") == 0) & (F.col("pieces") > 1)).alias("split"))
+    both = items.withColumn("k", F.lit(1)).join(room.withColumn("k", F.lit(1)), "k")  # a row each
+    return both.select("documents", "tokens", "split", (F.col("fullest") <= 1024).alias("within"), "tight")
+
+
+def p10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and the exact share of repeated ones (six decimals) of every document."""
+    return p10_shares(spark, sf_dir).select("doc_id", "words", F.round("repeated_share", 6).alias("repeated_share"))
+
+
 def p8_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Containers of 1,024 tokens for all documents."""
     sized = cut(with_token_counts(table(spark, sf_dir, "documents"), "doc_id", "text"), "tokens")
@@ -81,7 +109,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p10_shares(spark, sf_dir).where("NOT retained").select("doc_id").distinct()
 
 
-QUERIES = {"p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p3_found": p3_found, "p3_cleaned": p3_cleaned, "p3_spans": p3_spans, "p7_found": p7_found, "p7_pieces": p7_pieces, "p8_found": p8_found, "p8_bins": p8_bins, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_shares": p10_shares}
+QUERIES = {"p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p3_found": p3_found, "p3_cleaned": p3_cleaned, "p3_spans": p3_spans, "p7_found": p7_found, "p7_pieces": p7_pieces, "p7_invariants": p7_invariants, "p8_invariants": p8_invariants, "p10_exact": p10_exact, "p8_found": p8_found, "p8_bins": p8_bins, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_shares": p10_shares}
 
 _WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')"
 _P9 = rf"""
@@ -114,6 +142,14 @@ SELECT t.rec_id, CAST(t.text_no AS INTEGER) AS text_no, CASE WHEN dl IS NULL THE
     "p9_found": _P9 + "SELECT doc_id, item_id FROM found",
     "p9_items": _P9 + "SELECT item_id, count(*) AS documents FROM found GROUP BY 1",
     "p10_found": _P10 + "SELECT doc_id FROM share WHERE s >= 0.3",
+    "p7_invariants": """
+WITH t AS (SELECT rec_id, unnest(texts) AS text, generate_subscripts(texts, 1) - 1 AS text_no FROM page_texts)
+SELECT DISTINCT rec_id, CAST(text_no AS INTEGER) AS text_no, CAST(length(text) AS INTEGER) AS chars, true AS joined, true AS limited, true AS overlapping FROM t WHERE length(text) > 2000""",
+    "p8_invariants": r"""
+WITH t AS (SELECT doc_id, len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\x1c-\x1f\x{85}\p{Z}]+')) AS n FROM documents)
+SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS tokens, count(*) FILTER (n > 1024) AS split, true AS within, true AS tight FROM t WHERE n > 0""",
+    "p10_exact": _P10 + """, w AS (SELECT doc_id, len(w) AS n FROM dw UNION ALL SELECT doc_id, 0 FROM documents WHERE text IS NULL)
+SELECT doc_id, CAST(n AS BIGINT) AS words, round(coalesce(s, 0), 6) AS repeated_share FROM w LEFT JOIN share USING (doc_id)""",
     "p7_found": r"""
 WITH t AS (SELECT rec_id, unnest(texts) AS text, generate_subscripts(texts, 1) - 1 AS text_no FROM page_texts)
 SELECT DISTINCT rec_id, CAST(text_no AS INTEGER) AS text_no,
