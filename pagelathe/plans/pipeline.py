@@ -361,6 +361,7 @@ _LAT = "SELECT {by}, count(*) AS n, round(quantile_cont({v}, 0.5), 6) AS p50, ro
 _K = "pdf_path || '#' || page_index"
 
 SQL = {
+    "v17_embedded": r"SELECT doc_id, 32 AS dimensions, CAST(NULL AS VARCHAR) AS error FROM documents WHERE length(regexp_replace(text, '^[\s\x1c-\x1f\x{85}\p{Z}]+|[\s\x1c-\x1f\x{85}\p{Z}]+$', '', 'g')) > 0",
     "t8_joined_text": r"SELECT rec_id, regexp_replace(array_to_string(list_transform(texts, lambda x: coalesce(x, '')), ' '), '^[\s\x1c-\x1f\x{85}\p{Z}]+|[\s\x1c-\x1f\x{85}\p{Z}]+$', '', 'g') AS joined FROM page_texts",
     "k17_run_report": """
 WITH m AS (SELECT coalesce(len(errors), 0) > 0 AS bad, models['nemotron_ocr_v1'] AS m, CASE WHEN wall_s IS NULL OR isnan(wall_s) THEN 0 ELSE wall_s END AS w FROM page_metrics),
