@@ -146,16 +146,16 @@ def judged_lines(df: DataFrame, key: str, source: str, page: str, texts: str, pa
     """The occurrences of ``repeated_lines`` with ``settled``: true where an exact count of the line decided, false where its chunks did."""
     lines = cut(_texts(df, key, source, page, texts).mapInArrow(_lines(letters), "source long, page long, key long, text_no int, line_no int, line long, inner array<long>, over array<long>"), "lines")
     chunks = cut(_repeated(lines.select("source", "page", F.explode(F.concat("inner", "over")).alias("chunk")), ["source", "chunk"], pages).select("source", "chunk"), "repeated-chunks")
-    # First by one inner chunk, which most lines fail; then by all.
-    known = chunks.select("source", F.col("chunk").alias("one"))
-    some = lines.where(F.size("inner") > 0).withColumn("one", F.array_min("inner")).join(known, ["source", "one"], "left_semi").drop("one")
-    likely = some.unionByName(lines.where(F.size("inner") == 0))
+    # First by one chunk, an inner one where there is one: most lines fail that. Lines without inner chunks that fail are left to the count; the others are tried by all their chunks.
+    known = chunks.select("source", F.col("chunk").alias("one"), F.lit(True).alias("known"))
+    first = lines.withColumn("one", F.when(F.size("inner") > 0, F.array_min("inner")).otherwise(F.array_min("over"))).join(known, ["source", "one"], "left").where("known OR size(inner) = 0")
     place = ["source", "line", "page", "key", "text_no", "line_no"]
+    short = first.where("known IS NULL").select(*place, F.lit(False).alias("whole"))
     marks = F.concat(F.transform("inner", lambda c: F.struct(c.alias("chunk"), F.lit(True).alias("own"))), F.transform("over", lambda c: F.struct(c.alias("chunk"), F.lit(False).alias("own"))))
-    each = likely.select(*place, F.explode(marks).alias("m")).select(*place, "m.chunk", "m.own")
+    each = first.where("known").select(*place, F.explode(marks).alias("m")).select(*place, "m.chunk", "m.own")
     held = each.join(chunks.withColumn("repeated", F.lit(True)), ["source", "chunk"], "left").withColumn("repeated", F.coalesce("repeated", F.lit(False)))
     judged = held.groupBy(*place).agg(F.min(~F.col("own") | F.col("repeated")).alias("inner"), F.min("repeated").alias("whole")).where("inner")
-    judged = cut(judged.select(*place, "whole"), "judged-lines")
+    judged = cut(judged.select(*place, "whole").unionByName(short), "judged-lines")
     sure = _repeated(judged.select("source", "line", "page"), ["source", "line"], pages).select("source", "line", F.lit(True).alias("counted"))
     out = judged.join(sure, ["source", "line"], "left").where("whole OR counted")
     return out.select(F.col("key").alias(key), "text_no", "line_no", (~F.col("whole")).alias("settled"))
