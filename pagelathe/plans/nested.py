@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagelathe.operators import chunks, reports
 from pagelathe.operators.records import tagged_table, write_tagged
 from pagelathe.session import table
 
@@ -30,7 +31,26 @@ def p4_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.groupBy("sidecar_id", "region_no").agg(F.count(F.lit(1)).alias("regions"), F.sum(F.coalesce("children", F.lit(0))).alias("detections"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_links": p4_links, "p4_records": _table("record"), "p4_regions": _table("region"), "p4_detections": _table("detection")}
+def x2_sidecar_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1, X2, A4 over the sidecars' own regions: how many each sidecar has, and detections nested in them."""
+    written = write_tagged(table(spark, sf_dir, "region_sidecars"), "sidecar_id", "payload")
+    regions, found = (tagged_table(written, tag, "sidecar_id") for tag in ("region", "detection"))
+    nested = regions.join(found.groupBy(F.col("parent").alias("pk")).agg(F.collect_list("det_no").alias("detections")), "pk", "left")
+    each = nested.groupBy("sidecar_id").agg(F.collect_list(F.struct("region_no", "detections")).alias("regions"))
+    return reports.region_counts(each, F.col("regions")).select("sidecar_id", "regions_n", "detections_n")
+
+
+def a9_sidecar_eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F7, A9, X3 over the sidecars' own detections: those whose region is a table, chart or infographic and that have a page box, by PDF and stage."""
+    side = table(spark, sf_dir, "region_sidecars")
+    written = write_tagged(side, "sidecar_id", "payload")
+    regions, found = (tagged_table(written, tag, "sidecar_id") for tag in ("region", "detection"))
+    whole = found.select("parent", "sidecar_id", F.col("bbox_in_page").alias("box")).join(regions.select(F.col("pk").alias("parent"), "label"), "parent")
+    items = whole.join(side.select("sidecar_id", F.coalesce("pdf_path", F.lit("")).alias("doc"), "stage"), "sidecar_id")
+    return reports.eligible_by_document(items, "doc", "stage", chunks.eligible(F.col("label"), F.col("box")))
+
+
+QUERIES = {"x2_sidecar_regions": x2_sidecar_regions, "a9_sidecar_eligible": a9_sidecar_eligible, "p4_found": p4_found, "p4_links": p4_links, "p4_records": _table("record"), "p4_regions": _table("region"), "p4_detections": _table("detection")}
 
 #: Walks a payload level by level: a node is what may hold records, a place the positions down to a leaf.
 _WALK = r"""WITH RECURSIVE w AS (
@@ -59,4 +79,14 @@ SQL = {
     "p4_links": _WALK + f""", r AS (SELECT id AS sidecar_id, region AS region_no, count(*) AS regions FROM w WHERE kind = 'region' AND json_type(v) = 'OBJECT' GROUP BY ALL),
 d AS (SELECT sidecar_id, region_no, count(*) AS n FROM leaf WHERE {_LISTED} GROUP BY ALL)
 SELECT sidecar_id, CAST(region_no AS INTEGER) AS region_no, regions, coalesce(n, 0) AS detections FROM r LEFT JOIN d USING (sidecar_id, region_no)""",
+    "x2_sidecar_regions": _WALK + f""", r AS (SELECT id AS sidecar_id, count(*) AS n FROM w WHERE kind = 'region' AND json_type(v) = 'OBJECT' GROUP BY 1),
+d AS (SELECT sidecar_id, count(*) AS n FROM leaf WHERE {_LISTED} GROUP BY 1)
+SELECT sidecar_id, CAST(r.n AS INTEGER) AS regions_n, CAST(coalesce(d.n, 0) AS INTEGER) AS detections_n FROM r LEFT JOIN d USING (sidecar_id)""",
+    "a9_sidecar_eligible": _WALK + f""", r AS (SELECT id, rec, region, TRY_CAST(CASE WHEN json_type(v, '$.page_element') = 'VARCHAR' THEN json_extract_string(CAST(v->>'$.page_element' AS JSON), '$.label') ELSE json_extract_string(v, '$.page_element.label') END AS INTEGER) AS label
+  FROM w WHERE kind = 'region' AND json_type(v) = 'OBJECT'),
+b AS (SELECT sidecar_id AS id, rec, region_no AS region, CASE WHEN json_type(v) = 'OBJECT' THEN coalesce(json_extract(v, '$.bbox_xyxy_norm_in_page'), json_extract(v, '$.bbox_xyxy_norm')) END AS box FROM leaf WHERE {_LISTED}),
+f AS (SELECT id, rec, region, coalesce(json_type(box) = 'ARRAY' AND json_array_length(box) = 4 AND len(list_filter(CAST(box AS JSON[]), lambda x: TRY_CAST(x->>'$' AS DOUBLE) IS NOT NULL)) = 4, false) AS boxed FROM b),
+e AS (SELECT coalesce(pdf_path, '') AS doc, stage, boxed AND coalesce(label IN (0, 1, 3), false) AS ok FROM f JOIN r USING (id, rec, region) JOIN region_sidecars ON sidecar_id = id)
+SELECT doc, count(*) AS total, count(*) FILTER (ok) AS eligible, count(*) FILTER (stage = 3) AS total_stage3, count(*) FILTER (stage = 4) AS total_stage4, count(*) FILTER (stage = 3 AND ok) AS eligible_stage3, count(*) FILTER (stage = 4 AND ok) AS eligible_stage4
+FROM e GROUP BY 1""",
 }

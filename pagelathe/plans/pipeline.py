@@ -271,7 +271,7 @@ QUERIES = {
     "n2_kept_detections": kept_detections,
     "x3_ocr_tasks": ocr_tasks,
     "x4_chunks": lambda s, d: chunks.assemble(_pages(s, d), "rec_id", _first(), _rest()),
-    "x5_flatten": lambda s, d: chunks.flatten_records(_pages(s, d).select(F.array(F.transform("texts", lambda t: F.struct(t.alias("text"))), F.lit(None)).alias("nested")), "nested").groupBy(F.length("text").alias("chars")).agg(F.count(F.lit(1)).alias("n")),
+    "x5_flatten": lambda s, d: chunks.flatten_records(_pages(s, d).select(F.array(F.transform("texts", lambda t: F.struct(t.alias("text"))), F.lit(None)).alias("nested")), "nested").groupBy(F.md5("text").alias("digest")).agg(F.count(F.lit(1)).alias("n")),
     "f14_work_list": lambda s, d: chunks.work_list(table(s, d, "chunk_vectors").select(F.col("vec_id").alias("id")), _hits(s, d).select(F.col("chunk_id").alias("id")), "id"),
     "f15_skips": lambda s, d: chunks.skips(_pages(s, d), "rec_id", F.coalesce(_first(), F.lit("")), F.coalesce(_rest(), F.array().cast("array<string>")), _pages(s, d).where("schema_version IS NULL")),
     "f7_a9_eligible": _eligible,
@@ -383,7 +383,7 @@ SELECT doc_id, CAST(length(t) AS INTEGER) AS chars, 2 AS dimensions, source AS s
     "pr5_ingest_records": "SELECT 'text' AS document_type, text_kind AS content, coalesce(CAST(len(vector) AS INTEGER), NULL) AS dimensions, source AS source_name, CAST(vec_id AS INTEGER) AS number FROM chunk_vectors",
     "x3_ocr_tasks": "SELECT l_orderkey, l_linenumber % 6 AS label, l_quantity AS score FROM lineitem WHERE (l_linenumber % 6 IN (0, 1, 3) OR l_linenumber % 2 = 0) AND l_linenumber % 3 <> 0",
     "x4_chunks": _CH + "SELECT rec_id, CAST(chunk_no AS INTEGER) AS chunk_no, text_kind, text FROM c",
-    "x5_flatten": "SELECT CAST(length(t) AS INTEGER) AS chars, count(*) AS n FROM (SELECT unnest(texts) AS t FROM page_texts) GROUP BY 1",
+    "x5_flatten": "SELECT md5(t) AS digest, count(*) AS n FROM (SELECT unnest(texts) AS t FROM page_texts) GROUP BY 1",
     "f14_work_list": "SELECT vec_id AS id FROM chunk_vectors WHERE vec_id NOT IN (SELECT chunk_id FROM query_hits WHERE chunk_id IS NOT NULL)",
     "f15_skips": _SKIPS,
     "f7_a9_eligible": _EL + "SELECT * FROM g",
