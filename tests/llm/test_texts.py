@@ -532,6 +532,58 @@ def test_all_running_headers_of_a_pdf_are_found(spark):
     assert {tuple(r) for r in found} == {(n, 0) for n in [*range(21), 50]}
 
 
+def test_damaged_headers_are_compared_with_every_line_of_their_pdf(spark):
+    rng = random.Random(11)
+    body = lambda: "\n".join(text_of(rng, 6) for _ in range(9))
+    long = " ".join("".join(rng.choices("bdgkmpvz", k=7)) for _ in range(60))
+    heads = {
+        0: "Chronicle of the Western Harbours", 1: "Chronjcle of the Western Harbovrs",  # damaged in the first and in the last six letters
+        2: "Zentralblatt der Vermessung", 3: "Zentralblatt dar Vermessung",  # with other lines between them in either order of letters
+        4: long, 5: long[:200] + "x" + long[201:], 6: "Index", 7: "lndex",
+    }
+    pages = [(n, "p", n, f"{head}\n{body()}") for n, head in heads.items()]
+    between = [f"Zentralblatt d{x}{text_of(rng, 5)}{x}r Vermessung" for x in "bcdbcdbcd"]
+    pages += [(20 + n, "p", 20 + n, f"{line}\n{body()}") for n, line in enumerate(between)]
+    pages.append((50, "q", 50, f"Index\n{body()}"))
+    found = scan_noise.scan_defects(*scan(spark, pages)).where("defect = 'furniture'").select("page_id", "line_no").collect()
+    assert {tuple(r) for r in found} == {(n, 0) for n in heads}
+
+
+@pytest.mark.parametrize("held", [1 << 10, 1 << 20])
+def test_alike_lines_equal_comparing_all_pairs(held):
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+        return row[-1]
+
+    for seed in range(6):
+        rng = random.Random(seed)
+        lines = {"".join(rng.choices("abcdefgü"[: rng.choice([2, 8])], k=rng.choice([1, 3, 4, 6, 12, 20, 60, 210]))) for _ in range(20)}
+        for line in sorted(lines):
+            for _ in range(3):
+                lines.add("".join(rng.choice(["", "x", c + "y"]) if rng.random() < rng.choice([0.05, 0.1, 0.15]) else c for c in line) or "a")
+        lines = sorted(lines)
+        low = np.array([rng.randrange(6) for _ in lines])
+        high = low + np.array([rng.choice([0, 0, 0, 2]) for _ in lines])
+        met = np.array([rng.random() < 0.8 for _ in lines])
+        asks = np.array([rng.random() < 0.8 for _ in lines]) & (low == high)
+        near = lambda i, j: distance(lines[i], lines[j]) <= 0.15 * (len(lines[i]) + len(lines[j])) / 2 + 0.5
+        want = [bool(asks[i]) and any(met[j] and j != i and (low[j], high[j]) != (low[i], high[i]) and near(i, j) for j in range(len(lines))) for i in range(len(lines))]
+        assert scan_noise.alike_lines(pa.array(lines), low, high, asks, met, 0.85, held).tolist() == want
+
+
+def test_parts_of_a_large_pdf_meet_in_pairs(spark, monkeypatch):
+    rng = random.Random(12)
+    heads = [f"{''.join(rng.choices('bdgkmpvz', k=24))}" for _ in range(12)]
+    pages = [(2 * n + k, "p", 2 * n + k, f"{head[:9] + 'xx'[:k] + head[9 + k:]}\n{text_of(rng, 6)}\n{text_of(rng, 6)}") for n, head in enumerate(heads) for k in range(2)]
+    monkeypatch.setattr(scan_noise, "LINES", 10)
+    found = scan_noise.scan_defects(*scan(spark, pages)).where("defect = 'furniture'").select("page_id", "line_no").collect()
+    assert {tuple(r) for r in found} == {(n, 0) for n in range(24)}
+
+
 def test_paragraphs_are_continuous(spark):
     pages = [
         (1, "p", 0, "the gr0up un-\nder the stone-\ndock and\n\nthe capi-\nPage 1"), (2, "p", 1, "Page 2\ntal and the\nsma1l image"), (3, "p", 2, "under a\nPage 3"), (4, "p", 3, "warm stone.\n\nA number"),
